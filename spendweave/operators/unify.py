@@ -5,7 +5,6 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from spendweave.functions.kpis import row_kpis
 from spendweave.sources.specs import FACT_FIELDS, FACEBOOK, GOOGLE, TIKTOK, UNIFIED_COLUMNS, SourceSpec
@@ -19,14 +18,10 @@ def conform(raw: DataFrame, spec: SourceSpec) -> DataFrame:
     """
     provides = spec.provides
 
-    def column(name: str, type_: str):
-        if name == "platform":
-            return F.lit(spec.platform)
-        if name in provides:
-            return F.col(provides[name]).cast(type_)
-        return F.lit(None).cast(type_)
+    def source(name: str) -> str:
+        return f"'{spec.platform}'" if name == "platform" else provides.get(name, "NULL")
 
-    return raw.select(*[column(f.name, f.type).alias(f.name) for f in FACT_FIELDS])
+    return raw.selectExpr(*[f"CAST({source(f.name)} AS {f.type}) AS {f.name}" for f in FACT_FIELDS])
 
 
 def unify(*conformed: DataFrame) -> DataFrame:
@@ -40,8 +35,8 @@ def with_row_kpis(facts: DataFrame) -> DataFrame:
     Columns that a later step does not read are pruned, so the marts can take this
     frame without paying for the row quotients.
     """
-    kpis = row_kpis(F.col("impressions"), F.col("clicks"), F.col("spend"), F.col("conversions"))
-    return facts.withColumns(kpis).select(*UNIFIED_COLUMNS)
+    kpis = row_kpis("impressions", "clicks", "spend", "conversions")
+    return facts.select(*[kpis[c].alias(c) if c in kpis else c for c in UNIFIED_COLUMNS])
 
 
 def unified_ads(facebook: DataFrame, google: DataFrame, tiktok: DataFrame) -> DataFrame:

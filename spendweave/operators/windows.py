@@ -22,7 +22,7 @@ def _all_rows():
 
 def with_share(df: DataFrame, measure: str, out: str) -> DataFrame:
     """Share of the column total, 4 places. One row per platform."""
-    return df.withColumn(out, ratio(F.col(measure), F.sum(measure).over(_all_rows()), 4))
+    return df.withColumn(out, ratio(measure, f"SUM({measure}) OVER ()", 4))
 
 
 def with_wow(weekly: DataFrame, measure: str) -> DataFrame:
@@ -31,10 +31,9 @@ def with_wow(weekly: DataFrame, measure: str) -> DataFrame:
     The lag is a column of its own: written twice it would be computed twice.
     """
     weeks = Window.partitionBy("platform").orderBy("week_start")
-    previous = F.col("_previous")
     return (
         weekly.withColumn("_previous", F.lag(measure).over(weeks))
-        .withColumn(f"{measure}_wow_change", ratio(F.col(measure) - previous, previous, 4))
+        .withColumn(f"{measure}_wow_change", ratio(f"({measure} - _previous)", "_previous", 4))
         .drop("_previous")
     )
 

@@ -97,7 +97,7 @@ def platform_findings(plat: DataFrame) -> DataFrame:
         "conversion_share": percent(conv_share, 0),
         "gap": percent(spend_share - conv_share, 1),
     }
-    share_numbers = dict(value=conv_share, benchmark=spend_share, change=share_ratio(conv_share, spend_share))
+    share_numbers = dict(value=conv_share, benchmark=spend_share, change=share_ratio("conversion_share", "spend_share"))
     return _emit(
         _with_extremes(plat),
         F.when(
@@ -173,7 +173,7 @@ def _campaign_texts(side: str) -> dict[str, Column]:
 def campaign_findings(camp: DataFrame) -> DataFrame:
     """Best and worst campaign by CPA, and how many times the best the worst is."""
     low, high = F.col("best.avg_cpa"), F.col("worst.avg_cpa")
-    multiple = ratio(high, low, 1)
+    multiple = ratio("worst.avg_cpa", "best.avg_cpa", 1)
     return _emit(
         _campaign_extremes(camp),
         _finding(
@@ -236,7 +236,7 @@ def platform_recommendations(plat: DataFrame) -> DataFrame:
     first = Window.orderBy(F.col("total_spend").desc_nulls_last(), "platform")
     shown = _with_extremes(plat).withColumns(
         {
-            "share": ratio(F.col("total_spend"), F.sum("total_spend").over(everything), 4),
+            "share": ratio("total_spend", "SUM(total_spend) OVER ()", 4),
             "platforms": F.count(F.lit(1)).over(everything),
             "position": F.row_number().over(first),
         }

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from spendweave.functions.kpis import mart_kpis, mean, quotient, ratio, ratio_or_zero, roas
 from spendweave.operators.ranking import Ranking, WINDOW_ROWS, with_global_ranks
 from spendweave.operators.windows import with_share, with_wow
+from spendweave.sources.store import materialise
 
 CAMPAIGN_KEYS = ("platform", "campaign_id", "campaign_name")
 BASE_MEASURES = ("impressions", "clicks", "spend", "conversions")
@@ -33,7 +34,7 @@ def _totals(*measures: str) -> list[Column]:
 
 
 def _total_kpis() -> dict[str, Column]:
-    return mart_kpis(*[F.col(f"total_{m}") for m in BASE_MEASURES])
+    return mart_kpis(*[f"total_{m}" for m in BASE_MEASURES])
 
 
 def _row_count(df: DataFrame) -> Column:
@@ -81,13 +82,21 @@ def daily_platform_summary(facts: DataFrame) -> DataFrame:
 def campaign_totals(unified: DataFrame) -> DataFrame:
     """Campaign performance without ranks, lazy.
 
-    Where no rank is needed, filter the facts by platform or campaign instead of the
-    result: both are keys, so the rows are the same, and the filter reaches the scan.
+    Plainly declared, so that filters on the result reach the scan and a reader of a
+    few columns does not pay for the distinct counts.
     """
-    return campaign_totals_from_rollup(campaign_rollup(unified))
+    grouped = unified.groupBy(*CAMPAIGN_KEYS).agg(
+        F.min("date").alias("first_active_date"),
+        F.max("date").alias("last_active_date"),
+        F.count_distinct("date").alias("active_days"),
+        F.count_distinct("ad_group_id").alias("ad_groups"),
+        *_totals(*ROLLUP_MEASURES),
+    )
+    return _campaign_columns(grouped)
 
 
 def campaign_totals_from_rollup(rollup: DataFrame) -> DataFrame:
+    """The same from a campaign roll-up, where every day and ad group is one row."""
     grouped = rollup.groupBy(*CAMPAIGN_KEYS).agg(
         F.min("date").alias("first_active_date"),
         F.max("date").alias("last_active_date"),
@@ -95,9 +104,13 @@ def campaign_totals_from_rollup(rollup: DataFrame) -> DataFrame:
         F.count("ad_group_id").alias("ad_groups"),
         *_totals(*ROLLUP_MEASURES),
     )
+    return _campaign_columns(grouped)
+
+
+def _campaign_columns(grouped: DataFrame) -> DataFrame:
     kpis = _total_kpis()
-    value = F.col("total_conversion_value")
-    return grouped.withColumns({**kpis, "roas": roas(value, F.col("total_spend"))}).select(
+    returns = {"roas": roas("total_conversion_value", "total_spend")}
+    return grouped.withColumns({**kpis, **returns}).select(
         *CAMPAIGN_KEYS,
         "first_active_date",
         "last_active_date",
@@ -119,21 +132,24 @@ def with_ranks(campaigns: DataFrame, window_rows: int = WINDOW_ROWS) -> DataFram
 
     A campaign without conversions has no CPA and ranks last.
     """
-    spend, conversions = F.col("total_spend"), F.col("total_conversions")
     return with_global_ranks(
         campaigns,
         [
-            Ranking("spend_rank", spend, descending=True),
-            Ranking("conversions_rank", conversions, descending=True),
-            Ranking("cpa_rank", quotient(spend, conversions)),
+            Ranking("spend_rank", F.col("total_spend"), descending=True),
+            Ranking("conversions_rank", F.col("total_conversions"), descending=True),
+            Ranking("cpa_rank", quotient("total_spend", "total_conversions")),
         ],
         window_rows=window_rows,
     )
 
 
 def campaign_performance(unified: DataFrame) -> DataFrame:
-    """Campaign totals with their three ranks. Runs the totals when called."""
-    return with_ranks(campaign_totals(unified))
+    """Campaign totals with their three ranks. Runs the totals when called.
+
+    Ranks need every campaign and all columns are wanted, so there is nothing to push
+    down or prune: the roll-up gets to the totals with fewer copies of each row.
+    """
+    return with_ranks(campaign_totals_from_rollup(campaign_rollup(unified)))
 
 
 def platform_summary(facts: DataFrame) -> DataFrame:
@@ -144,6 +160,10 @@ def platform_summary(facts: DataFrame) -> DataFrame:
         F.count_distinct("date").alias("active_days"),
         *_totals(*BASE_MEASURES),
     )
+    return _platform_columns(grouped)
+
+
+def _platform_columns(grouped: DataFrame) -> DataFrame:
     shared = with_share(grouped.withColumns(_total_kpis()), "total_spend", "spend_share")
     return with_share(shared, "total_conversions", "conversion_share")
 
@@ -157,11 +177,26 @@ def weekly_rollup(facts: DataFrame) -> DataFrame:
 
 def weekly_trends(facts: DataFrame) -> DataFrame:
     """Weekly roll-up with indicators and the change against the previous week."""
-    kpis = mart_kpis(*[F.col(m) for m in BASE_MEASURES], prefix="")
+    kpis = mart_kpis(*BASE_MEASURES, prefix="")
     weekly = weekly_rollup(facts).withColumns({k: kpis[k] for k in ("ctr", "cpc", "cpa")})
     return with_wow(with_wow(weekly, "spend"), "conversions")
 
 
+def insight_marts(unified: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Platform, campaign and weekly marts with the columns that the rules read.
+
+    The facts are scanned once, into a scratch table of campaigns by week; all three
+    marts come from that.
+    """
+    weeks = unified.groupBy(F.trunc("date", "week").alias("date"), *CAMPAIGN_KEYS).agg(
+        *[_sum(m).alias(m) for m in BASE_MEASURES]
+    )
+    stored, _ = materialise(weeks, "campaign-weeks")
+    platforms = _platform_columns(stored.groupBy("platform").agg(*_totals(*BASE_MEASURES)))
+    campaigns = stored.groupBy(*CAMPAIGN_KEYS).agg(*_totals(*BASE_MEASURES)).withColumns(_total_kpis())
+    return platforms, campaigns, weekly_trends(stored)
+
+
 def video_funnel(tiktok: DataFrame) -> DataFrame:
     """Video completion by campaign name, on the raw feed; rates are over all views."""
     steps = ("25", "50", "75", "100")
@@ -169,21 +204,19 @@ def video_funnel(tiktok: DataFrame) -> DataFrame:
         F.sum("video_views").alias("total_views"),
         *[F.sum(f"video_watch_{s}").alias(f"watched_{s}pct") for s in steps],
     )
-    views = F.col("total_views")
-    return grouped.withColumns({f"rate_{s}pct": ratio(F.col(f"watched_{s}pct"), views, 4) for s in steps})
+    return grouped.withColumns({f"rate_{s}pct": ratio(f"watched_{s}pct", "total_views", 4) for s in steps})
 
 
 def quality_analysis(google: DataFrame) -> DataFrame:
     """Quality score against performance by campaign and ad-group name, on the raw feed."""
     grouped = google.groupBy("campaign_name", "ad_group_name").agg(
-        mean(F.col("quality_score"), 1).alias("avg_quality_score"),
+        mean("quality_score", 1).alias("avg_quality_score"),
         *_totals("impressions", "clicks", "cost", "conversions", "conversion_value"),
-        mean(F.col("search_impression_share"), 2).alias("avg_search_impression_share"),
+        mean("search_impression_share", 2).alias("avg_search_impression_share"),
     )
-    totals = [F.col(f"total_{m}") for m in ("impressions", "clicks", "cost", "conversions")]
-    kpis = mart_kpis(*totals)
+    kpis = mart_kpis("total_impressions", "total_clicks", "total_cost", "total_conversions")
     chosen = {k: kpis[k] for k in ("avg_ctr", "avg_cpc", "avg_cpa")}
-    chosen["roas"] = roas(F.col("total_conversion_value"), F.col("total_cost"))
+    chosen["roas"] = roas("total_conversion_value", "total_cost")
     return grouped.withColumns(chosen).select(
         "campaign_name",
         "ad_group_name",
@@ -201,13 +234,12 @@ def quality_analysis(google: DataFrame) -> DataFrame:
 def kpi_totals(filtered: DataFrame) -> DataFrame:
     """One row of totals and unrounded indicators; 0 where nothing can be divided."""
     totals = filtered.agg(*[F.coalesce(F.sum(m), F.lit(0)).alias(f"total_{m}") for m in BASE_MEASURES])
-    impressions, clicks, spend, conversions = [F.col(f"total_{m}") for m in BASE_MEASURES]
     return totals.withColumns(
         {
-            "avg_cpa": ratio_or_zero(spend, conversions),
-            "avg_ctr": ratio_or_zero(clicks, impressions),
-            "avg_cpc": ratio_or_zero(spend, clicks),
-            "avg_conversion_rate": ratio_or_zero(conversions, clicks),
+            "avg_cpa": ratio_or_zero("total_spend", "total_conversions"),
+            "avg_ctr": ratio_or_zero("total_clicks", "total_impressions"),
+            "avg_cpc": ratio_or_zero("total_spend", "total_clicks"),
+            "avg_conversion_rate": ratio_or_zero("total_conversions", "total_clicks"),
         }
     )
 

@@ -132,7 +132,7 @@ def panel_radar(plat_f: DataFrame) -> DataFrame:
     axes = plat_f.select(
         "platform",
         *[F.coalesce(F.col(c).cast("double"), zero).alias(RADAR_AXES[c]) for c in ("avg_ctr", "avg_conversion_rate")],
-        *[inverse(F.col(c)).alias(RADAR_AXES[c]) for c in ("avg_cpa", "avg_cpc")],
+        *[inverse(c).alias(RADAR_AXES[c]) for c in ("avg_cpa", "avg_cpc")],
     )
     names = list(RADAR_AXES.values())
     # names with brackets and slashes have to be quoted as columns

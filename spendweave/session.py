@@ -12,6 +12,8 @@ COMMON_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.ansi.enabled": "true",
+    # call sites of every Column operation cost more than planning the query
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 # A wide initial shuffle lets AQE merge small partitions instead of spilling big

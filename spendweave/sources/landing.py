@@ -13,7 +13,7 @@ told apart by ``l_returnflag``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendweave.operators.unify import with_row_kpis
@@ -21,43 +21,37 @@ from spendweave.sources.specs import FACT_FIELDS, FACEBOOK, GOOGLE, SPECS, TIKTO
 
 FLAG = {FACEBOOK.platform: "A", GOOGLE.platform: "N", TIKTOK.platform: "R"}
 
-
-def _measures() -> dict[str, Column]:
-    quantity = F.col("l_quantity").cast("int").cast("bigint")
-    line = F.col("l_linenumber").cast("bigint")
-    price = F.col("l_extendedprice").cast("decimal(12,2)")
-    tax = F.col("l_tax").cast("decimal(4,2)")
-    # conversions differ by feed, so that platforms differ in cost per conversion
-    conversions = (
-        F.when(F.col("l_returnflag") == FLAG[FACEBOOK.platform], line + 1)
-        .when(F.col("l_returnflag") == FLAG[GOOGLE.platform], line - 1)
-        .otherwise(F.greatest(line - 3, F.lit(0)))
-    )
-    return {
-        "date": F.col("l_shipdate").cast("date"),
-        "campaign_id": F.col("p_brand"),
-        "campaign_name": F.concat(F.lit("C_"), F.col("p_brand")),
-        "ad_group_id": F.concat_ws("/", "p_brand", "p_type"),
-        "ad_group_name": F.col("p_type"),
-        "impressions": (quantity - 1) * 100,
-        "clicks": F.greatest(quantity - line, F.lit(0)),
-        "spend": price,
-        "conversions": conversions,
-        "video_views": quantity * 50,
-        "engagement_rate": F.col("l_tax").cast("decimal(10,4)"),
-        "reach": quantity * 80,
-        "frequency": (F.col("l_discount") + 1).cast("decimal(10,2)"),
-        "conversion_value": (price * tax).cast("decimal(12,2)"),
-        "quality_score": F.nullif(line + 1, F.lit(8).cast("bigint")),
-        "search_impression_share": F.col("l_discount").cast("decimal(10,2)"),
-        "video_watch_25": quantity * 40,
-        "video_watch_50": quantity * 30,
-        "video_watch_75": quantity * 20,
-        "video_watch_100": quantity * 10,
-        "likes": line * 7,
-        "shares": line * 2,
-        "comments": line,
-    }
+_QUANTITY = "CAST(l_quantity AS BIGINT)"
+_LINE = "CAST(l_linenumber AS BIGINT)"
+_PRICE = "CAST(l_extendedprice AS DECIMAL(12,2))"
+
+MEASURES = {
+    "date": "CAST(l_shipdate AS DATE)",
+    "campaign_id": "p_brand",
+    "campaign_name": "CONCAT('C_', p_brand)",
+    "ad_group_id": "CONCAT(p_brand, '/', p_type)",
+    "ad_group_name": "p_type",
+    "impressions": f"({_QUANTITY} - 1) * 100",
+    "clicks": f"GREATEST({_QUANTITY} - {_LINE}, 0)",
+    "spend": _PRICE,
+    # differs by feed, so that platforms differ in cost per conversion
+    "conversions": f"CASE l_returnflag WHEN 'A' THEN {_LINE} + 1 WHEN 'N' THEN {_LINE} - 1 "
+    f"ELSE GREATEST({_LINE} - 3, 0) END",
+    "video_views": f"{_QUANTITY} * 50",
+    "engagement_rate": "l_tax",
+    "reach": f"{_QUANTITY} * 80",
+    "frequency": "l_discount + 1",
+    "conversion_value": f"{_PRICE} * CAST(l_tax AS DECIMAL(4,2))",
+    "quality_score": f"NULLIF({_LINE} + 1, 8)",
+    "search_impression_share": "l_discount",
+    "video_watch_25": f"{_QUANTITY} * 40",
+    "video_watch_50": f"{_QUANTITY} * 30",
+    "video_watch_75": f"{_QUANTITY} * 20",
+    "video_watch_100": f"{_QUANTITY} * 10",
+    "likes": f"{_LINE} * 7",
+    "shares": f"{_LINE} * 2",
+    "comments": _LINE,
+}
 
 
 def _landing(spark: SparkSession, data_dir: str) -> DataFrame:
@@ -70,23 +64,16 @@ def _landing(spark: SparkSession, data_dir: str) -> DataFrame:
         .groupBy("p_partkey")
         .agg(F.first("p_brand").alias("p_brand"), F.first("p_type").alias("p_type"))
     )
-    return lineitem.join(part, F.col("l_partkey") == F.col("p_partkey"), "left").filter(
-        F.col("l_returnflag").isin(*FLAG.values())
-    )
+    return lineitem.join(part, F.expr("l_partkey = p_partkey"), "left").filter("l_returnflag IN ('A', 'N', 'R')")
 
 
 def _as_raw(landing: DataFrame, spec: SourceSpec) -> DataFrame:
-    measures = _measures()
     unified_name = {raw: name for name, raw in spec.provides.items()}
-    extra = {
-        "ctr": F.lit(0).cast("decimal(10,4)"),
-        "avg_cpc": F.lit(0).cast("decimal(10,2)"),
-    }
     columns = []
     for f in spec.fields:
-        value = extra[f.name] if f.name in spec.dropped else measures[unified_name[f.name]]
-        columns.append(value.cast(f.type).alias(f.name))
-    return landing.filter(F.col("l_returnflag") == FLAG[spec.platform]).select(*columns)
+        value = "0" if f.name in spec.dropped else MEASURES[unified_name[f.name]]
+        columns.append(f"CAST({value} AS {f.type}) AS {f.name}")
+    return landing.filter(f"l_returnflag = '{FLAG[spec.platform]}'").selectExpr(*columns)
 
 
 def raw_feeds(spark: SparkSession, data_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -97,21 +84,18 @@ def raw_feeds(spark: SparkSession, data_dir: str) -> tuple[DataFrame, DataFrame,
 
 def landing_facts(spark: SparkSession, data_dir: str) -> DataFrame:
     """The unified view of the landing table, read once."""
-    measures = _measures()
-    flag = F.col("l_returnflag")
-    platform = F.when(flag == FLAG[SPECS[0].platform], SPECS[0].platform)
-    for spec in SPECS[1:]:
-        platform = platform.when(flag == FLAG[spec.platform], spec.platform)
+    platforms = " ".join(f"WHEN '{FLAG[s.platform]}' THEN '{s.platform}'" for s in SPECS)
 
-    def column(name: str) -> Column:
+    def source(name: str) -> str:
         if name == "platform":
-            return platform
+            return f"CASE l_returnflag {platforms} END"
         owners = [FLAG[s.platform] for s in SPECS if name in s.provides]
         if len(owners) == len(SPECS):
-            return measures[name]
-        return F.when(flag.isin(*owners), measures[name])
+            return MEASURES[name]
+        flags = ", ".join(f"'{o}'" for o in owners)
+        return f"IF(l_returnflag IN ({flags}), {MEASURES[name]}, NULL)"
 
-    facts = _landing(spark, data_dir).select(
-        *[column(f.name).cast(f.type).alias(f.name) for f in FACT_FIELDS]
+    facts = _landing(spark, data_dir).selectExpr(
+        *[f"CAST({source(f.name)} AS {f.type}) AS {f.name}" for f in FACT_FIELDS]
     )
     return with_row_kpis(facts)

@@ -74,26 +74,22 @@ def _platform_findings(u: DataFrame) -> DataFrame:
 
 
 def _all_findings(u: DataFrame) -> DataFrame:
-    m = pipeline.marts_from_rollup(pipeline.stored_rollup(u))
-    return insights.executive_insights(
-        m["platform_summary"], m["campaign_totals"], m["weekly_trends"]
-    ).select(*EVIDENCE)
+    return insights.executive_insights(*marts.insight_marts(u)).select(*EVIDENCE)
 
 
 def _recommendations(u: DataFrame) -> DataFrame:
-    m = pipeline.marts_from_rollup(pipeline.stored_rollup(u))
-    recs = insights.budget_recommendations(m["platform_summary"], m["campaign_totals"])
+    platforms, campaigns, _ = marts.insight_marts(u)
+    recs = insights.budget_recommendations(platforms, campaigns)
     return recs.select("rec_order", "kind", "subject", "value")
 
 
 def _view_counts(u: DataFrame) -> DataFrame:
-    m = pipeline.marts_from_rollup(pipeline.stored_rollup(u))
     return audit.row_counts(
         {
             "UNIFIED_ADS": u,
-            "DAILY_PLATFORM_SUMMARY": m["daily_platform_summary"],
-            "CAMPAIGN_PERFORMANCE": m["campaign_totals"],
-            "PLATFORM_SUMMARY": m["platform_summary"],
+            "DAILY_PLATFORM_SUMMARY": marts.daily_platform_summary(u),
+            "CAMPAIGN_PERFORMANCE": marts.campaign_totals(u),
+            "PLATFORM_SUMMARY": marts.platform_summary(u),
         },
         name="view_name",
     )
