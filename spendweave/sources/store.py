@@ -40,6 +40,8 @@ def read_raw(spark: SparkSession, path: str, spec: SourceSpec, multi_line: bool
     does not fit its type or a text over its limit fails the query that reads it.
     ``multi_line`` allows line breaks inside quotes, but then a file cannot be split.
     """
+    if spark.conf.get("spark.sql.ansi.enabled") != "true":
+        raise ValueError("bad values would turn into NULL: set spark.sql.ansi.enabled")
     cells = (
         spark.read.schema(spec.string_schema())
         .option("header", True)
