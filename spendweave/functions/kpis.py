@@ -33,11 +33,6 @@ def ratio(num: str, den: str, places: int) -> Column:
     return F.expr(f"ROUND({_quotient(num, den)}, {places})")
 
 
-def share_ratio(num: str, den: str) -> Column:
-    """Quotient of two shares (4 decimals each), 4 places."""
-    return F.expr(f"ROUND(CAST({num} AS DECIMAL(20,4)) / NULLIF({den}, 0), 4)")
-
-
 def row_ratio(num: str, den: str, places: int, num_places: int = 0) -> Column:
     """``ratio`` of two BIGINT operands in long arithmetic, several times cheaper.
 

@@ -1,4 +1,4 @@
-"""Number formats of the dashboard, as Column expressions.
+"""Number formats of the dashboard: SQL expressions in, SQL text expressions out.
 
 A value is rounded half-up in DECIMAL and its exact digits are printed, so the text
 never depends on a binary float. NULL stays NULL.
@@ -8,40 +8,43 @@ from __future__ import annotations
 
 from string import Formatter
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
+def literal(value: str) -> str:
+    """A string as a SQL literal."""
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
 
-def money(value: Column) -> Column:
+
+def money(value: str) -> str:
     """``$1,234.50``"""
-    return F.concat(F.lit("$"), F.format_number(value.cast("decimal(38,2)"), 2))
+    return f"CONCAT('$', FORMAT_NUMBER(CAST({value} AS DECIMAL(38,2)), 2))"
 
 
-def whole(value: Column) -> Column:
+def whole(value: str) -> str:
     """``1,234``"""
-    return F.format_number(value.cast("bigint"), 0)
+    return f"FORMAT_NUMBER(CAST({value} AS BIGINT), 0)"
 
 
-def percent(value: Column, places: int) -> Column:
+def percent(value: str, places: int) -> str:
     """A fraction as ``12.3%``."""
-    return F.concat(_fixed(value.cast("decimal(30,8)") * 100, places), F.lit("%"))
+    return f"CONCAT({_fixed(f'CAST({value} AS DECIMAL(30,8)) * 100', places)}, '%')"
 
 
-def times(value: Column) -> Column:
+def times(value: str) -> str:
     """A multiple as ``4.9x``."""
-    return F.concat(_fixed(value, 1), F.lit("x"))
+    return f"CONCAT({_fixed(value, 1)}, 'x')"
 
 
-def _fixed(value: Column, places: int) -> Column:
-    return value.cast(f"decimal(38,{places})").cast("string")
+def _fixed(value: str, places: int) -> str:
+    return f"CAST(CAST({value} AS DECIMAL(38,{places})) AS STRING)"
 
 
-def fill(template: str, **fields: Column) -> Column:
-    """Put text columns into the ``{name}`` gaps of ``template``; a NULL shows as n/a."""
+def fill(template: str, fields: dict[str, str]) -> str:
+    """Put text expressions into the ``{name}`` gaps of ``template``; a NULL shows as n/a."""
     parts = []
-    for literal, name, _, _ in Formatter().parse(template):
-        if literal:
-            parts.append(F.lit(literal))
+    for before, name, _, _ in Formatter().parse(template):
+        if before:
+            parts.append(literal(before))
         if name:
-            parts.append(F.coalesce(fields[name].cast("string"), F.lit("n/a")))
-    return F.concat(*parts)
+            parts.append(f"COALESCE({fields[name]}, 'n/a')")
+    return f"CONCAT({', '.join(parts)})"

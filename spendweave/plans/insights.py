@@ -9,11 +9,9 @@ to the name.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from spendweave.functions.kpis import ratio, share_ratio
-from spendweave.functions.text import fill, money, percent, times, whole
+from spendweave.functions.text import fill, literal, money, percent, times, whole
 from spendweave.operators.windows import latest_week
 from spendweave.plans import messages
 
@@ -23,118 +21,129 @@ OVER_RATIO = "1.2"
 STEADY_CHANGE = "0.15"
 DIVERSIFIED_PLATFORMS = 3
 
-_NUMBER = "decimal(24,4)"
+_NUMBER = "DECIMAL(24,4)"
 
 
-def _decimal(text: str) -> Column:
-    return F.lit(text).cast("decimal(4,2)")
+def _struct(**fields: str) -> str:
+    return "NAMED_STRUCT(" + ", ".join(f"'{name}', {value}" for name, value in fields.items()) + ")"
+
+
+def _when(condition: str, entry: str) -> str:
+    return f"IF({condition}, {entry}, NULL)"
+
+
+def _emit(df: DataFrame, *entries: str) -> DataFrame:
+    """The non-NULL structs of each row as rows."""
+    return df.selectExpr(f"EXPLODE(ARRAY({', '.join(entries)})) AS e").filter("e IS NOT NULL").select("e.*")
 
 
 def _finding(
     rule_no: int,
     message: tuple[str, str, str],
-    severity: Column | str,
-    subject: Column,
-    value: Column,
-    benchmark: Column | None = None,
-    change: Column | None = None,
-    *,
-    texts: dict[str, Column],
-) -> Column:
+    severity: str,
+    subject: str,
+    texts: dict[str, str],
+    value: str,
+    benchmark: str = "NULL",
+    change: str = "NULL",
+) -> str:
     """One finding as a struct: rule, texts, and the numbers it rests on."""
     category, title, detail = message
-    nothing = F.lit(None)
-    return F.struct(
-        F.lit(rule_no).alias("rule_no"),
-        F.lit(category).alias("category"),
-        subject.alias("subject"),
-        fill(title, **texts).alias("title"),
-        fill(detail, **texts).alias("detail"),
-        (F.lit(severity) if isinstance(severity, str) else severity).alias("severity"),
-        value.cast(_NUMBER).alias("value"),
-        (nothing if benchmark is None else benchmark).cast(_NUMBER).alias("benchmark"),
-        (nothing if change is None else change).cast(_NUMBER).alias("change"),
+    return _struct(
+        rule_no=str(rule_no),
+        category=literal(category),
+        subject=subject,
+        title=fill(title, texts),
+        detail=fill(detail, texts),
+        severity=severity,
+        value=f"CAST({value} AS {_NUMBER})",
+        benchmark=f"CAST({benchmark} AS {_NUMBER})",
+        change=f"CAST({change} AS {_NUMBER})",
     )
 
 
-def _emit(df: DataFrame, *entries: Column) -> DataFrame:
-    """The non-NULL structs of each row as rows."""
-    return df.select(F.explode(F.array(*entries)).alias("e")).filter("e is not null").select("e.*")
-
-
 def _with_extremes(plat: DataFrame) -> DataFrame:
     """Flag best and worst platforms. One row per platform, so one task suffices."""
-    ties = [F.col("total_spend").desc_nulls_last(), F.col("platform").asc()]
 
-    def position(order: Column) -> Column:
-        return F.row_number().over(Window.orderBy(order, *ties))
+    def leads(metric: str, direction: str) -> str:
+        order = f"{metric} {direction} NULLS LAST, total_spend DESC NULLS LAST, platform"
+        return f"ROW_NUMBER() OVER (ORDER BY {order}) = 1 AND {metric} IS NOT NULL"
 
-    cpa = F.col("avg_cpa")
-    by_high_cpa = Window.orderBy(cpa.desc_nulls_last(), *ties).rowsBetween(
-        Window.unboundedPreceding, Window.unboundedFollowing
+    by_high_cpa = (
+        "OVER (ORDER BY avg_cpa DESC NULLS LAST, total_spend DESC NULLS LAST, platform "
+        "ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"
     )
-    return plat.withColumns(
-        {
-            "is_lowest_cpa": (position(cpa.asc_nulls_last()) == 1) & cpa.isNotNull(),
-            "is_top_ctr": (position(F.col("avg_ctr").desc_nulls_last()) == 1) & F.col("avg_ctr").isNotNull(),
-            "is_top_reach": (position(F.col("total_impressions").desc_nulls_last()) == 1)
-            & F.col("total_impressions").isNotNull(),
-            "highest_cpa": F.first("avg_cpa").over(by_high_cpa),
-            "highest_cpa_platform": F.first("platform").over(by_high_cpa),
-        }
+    return plat.selectExpr(
+        "*",
+        f"{leads('avg_cpa', 'ASC')} AS is_lowest_cpa",
+        f"{leads('avg_ctr', 'DESC')} AS is_top_ctr",
+        f"{leads('total_impressions', 'DESC')} AS is_top_reach",
+        f"FIRST(avg_cpa) {by_high_cpa} AS highest_cpa",
+        f"FIRST(platform) {by_high_cpa} AS highest_cpa_platform",
     )
 
 
 def platform_findings(plat: DataFrame) -> DataFrame:
     """Lowest CPA, budget under- and over-delivery, best CTR, largest reach."""
-    name = F.col("platform")
-    cpa, high = F.col("avg_cpa"), F.col("highest_cpa")
-    spend_share, conv_share = F.col("spend_share"), F.col("conversion_share")
-    with_shares = (spend_share > 0) & (conv_share > 0)
+    both_shares = "spend_share > 0 AND conversion_share > 0"
     share_texts = {
-        "platform": name,
-        "spend_share": percent(spend_share, 0),
-        "conversion_share": percent(conv_share, 0),
-        "gap": percent(spend_share - conv_share, 1),
+        "platform": "platform",
+        "spend_share": percent("spend_share", 0),
+        "conversion_share": percent("conversion_share", 0),
+        "gap": percent("(spend_share - conversion_share)", 1),
     }
-    share_numbers = dict(value=conv_share, benchmark=spend_share, change=share_ratio("conversion_share", "spend_share"))
+    share_numbers = (
+        "conversion_share",
+        "spend_share",
+        "ROUND(CAST(conversion_share AS DECIMAL(20,4)) / NULLIF(spend_share, 0), 4)",
+    )
     return _emit(
         _with_extremes(plat),
-        F.when(
-            F.col("is_lowest_cpa"),
+        _when(
+            "is_lowest_cpa",
             _finding(
-                1, messages.LOWEST_CPA, "positive", name, cpa, high, high - cpa,
-                texts=dict(
-                    platform=name, cpa=money(cpa), gap=money(high - cpa),
-                    other=F.col("highest_cpa_platform"), other_cpa=money(high),
-                ),
+                1, messages.LOWEST_CPA, "'positive'", "platform",
+                {
+                    "platform": "platform",
+                    "cpa": money("avg_cpa"),
+                    "gap": money("(highest_cpa - avg_cpa)"),
+                    "other": "highest_cpa_platform",
+                    "other_cpa": money("highest_cpa"),
+                },
+                "avg_cpa", "highest_cpa", "highest_cpa - avg_cpa",
             ),
         ),
-        F.when(
-            with_shares & (conv_share < spend_share * _decimal(UNDER_RATIO)),
-            _finding(2, messages.UNDER_DELIVERY, "warning", name, **share_numbers, texts=share_texts),
+        _when(
+            f"{both_shares} AND conversion_share < spend_share * {UNDER_RATIO}",
+            _finding(2, messages.UNDER_DELIVERY, "'warning'", "platform", share_texts, *share_numbers),
         ),
-        F.when(
-            with_shares & (conv_share > spend_share * _decimal(OVER_RATIO)),
-            _finding(2, messages.OVER_DELIVERY, "positive", name, **share_numbers, texts=share_texts),
+        _when(
+            f"{both_shares} AND conversion_share > spend_share * {OVER_RATIO}",
+            _finding(2, messages.OVER_DELIVERY, "'positive'", "platform", share_texts, *share_numbers),
         ),
-        F.when(
-            F.col("is_top_ctr"),
+        _when(
+            "is_top_ctr",
             _finding(
-                5, messages.HIGHEST_CTR, "positive", name, F.col("avg_ctr"),
-                texts=dict(
-                    platform=name, ctr=percent(F.col("avg_ctr"), 2), cpc=money(F.col("avg_cpc")),
-                    conversion_rate=percent(F.col("avg_conversion_rate"), 2),
-                ),
+                5, messages.HIGHEST_CTR, "'positive'", "platform",
+                {
+                    "platform": "platform",
+                    "ctr": percent("avg_ctr", 2),
+                    "cpc": money("avg_cpc"),
+                    "conversion_rate": percent("avg_conversion_rate", 2),
+                },
+                "avg_ctr",
             ),
         ),
-        F.when(
-            F.col("is_top_reach"),
+        _when(
+            "is_top_reach",
             _finding(
-                6, messages.MOST_IMPRESSIONS, "neutral", name, F.col("total_impressions"),
-                texts=dict(
-                    platform=name, impressions=whole(F.col("total_impressions")), cpm=money(F.col("avg_cpm")),
-                ),
+                6, messages.MOST_IMPRESSIONS, "'neutral'", "platform",
+                {
+                    "platform": "platform",
+                    "impressions": whole("total_impressions"),
+                    "cpm": money("avg_cpm"),
+                },
+                "total_impressions",
             ),
         ),
     )
@@ -142,123 +151,116 @@ def platform_findings(plat: DataFrame) -> DataFrame:
 
 def _campaign_extremes(camp: DataFrame) -> DataFrame:
     """One row: the campaigns with the lowest and the highest CPA, and how many there are."""
-    row = F.struct(
-        "platform", "campaign_name", "avg_cpa", "total_conversions", "total_spend", "avg_ctr", "avg_conversion_rate"
+    row = (
+        "STRUCT(platform, campaign_name, avg_cpa, total_conversions, total_spend, avg_ctr, avg_conversion_rate)"
     )
 
-    def key(cpa: Column) -> Column:
-        # NULL keys are ignored, so a campaign without conversions is neither
-        order = F.struct(cpa, -F.col("total_spend"), F.col("platform"), F.col("campaign_name"))
-        return F.when(F.col("avg_cpa").isNotNull(), order)
+    def first_by(cpa: str) -> str:
+        # a NULL key is ignored, so a campaign without conversions is neither
+        key = f"IF(avg_cpa IS NOT NULL, STRUCT({cpa}, -total_spend, platform, campaign_name), NULL)"
+        return f"MIN_BY({row}, {key})"
 
-    return camp.agg(
-        F.min_by(row, key(F.col("avg_cpa"))).alias("best"),
-        F.min_by(row, key(-F.col("avg_cpa"))).alias("worst"),
-        F.count(F.lit(1)).alias("campaigns"),
-    ).filter("best is not null")
+    # an aggregate without keys gives a row even for no campaign
+    return camp.selectExpr(
+        f"{first_by('avg_cpa')} AS best", f"{first_by('-avg_cpa')} AS worst", "COUNT(*) AS campaigns"
+    ).filter("best IS NOT NULL")
 
 
-def _campaign_texts(side: str) -> dict[str, Column]:
+def _campaign_texts(side: str) -> dict[str, str]:
     return {
-        "campaign": F.col(f"{side}.campaign_name"),
-        "platform": F.col(f"{side}.platform"),
-        "cpa": money(F.col(f"{side}.avg_cpa")),
-        "spend": money(F.col(f"{side}.total_spend")),
-        "conversions": whole(F.col(f"{side}.total_conversions")),
-        "ctr": percent(F.col(f"{side}.avg_ctr"), 2),
-        "conversion_rate": percent(F.col(f"{side}.avg_conversion_rate"), 2),
+        "campaign": f"{side}.campaign_name",
+        "platform": f"{side}.platform",
+        "cpa": money(f"{side}.avg_cpa"),
+        "spend": money(f"{side}.total_spend"),
+        "conversions": whole(f"{side}.total_conversions"),
+        "ctr": percent(f"{side}.avg_ctr", 2),
+        "conversion_rate": percent(f"{side}.avg_conversion_rate", 2),
     }
 
 
 def campaign_findings(camp: DataFrame) -> DataFrame:
     """Best and worst campaign by CPA, and how many times the best the worst is."""
-    low, high = F.col("best.avg_cpa"), F.col("worst.avg_cpa")
-    multiple = ratio("worst.avg_cpa", "best.avg_cpa", 1)
+    multiple = "ROUND(CAST(worst.avg_cpa AS DECIMAL(20,2)) / NULLIF(best.avg_cpa, 0), 1)"
     return _emit(
         _campaign_extremes(camp),
         _finding(
-            3, messages.BEST_CAMPAIGN, "positive", F.col("best.campaign_name"), low, texts=_campaign_texts("best")
+            3, messages.BEST_CAMPAIGN, "'positive'", "best.campaign_name", _campaign_texts("best"), "best.avg_cpa"
         ),
         _finding(
-            4, messages.WORST_CAMPAIGN, "warning", F.col("worst.campaign_name"), high, low, multiple,
-            texts=dict(_campaign_texts("worst"), multiple=times(multiple)),
+            4, messages.WORST_CAMPAIGN, "'warning'", "worst.campaign_name",
+            {**_campaign_texts("worst"), "multiple": times(multiple)},
+            "worst.avg_cpa", "best.avg_cpa", multiple,
         ),
     )
 
 
 def trend_findings(weekly: DataFrame) -> DataFrame:
     """Spend change of the latest week per platform; 0 counts as decreased."""
-    change = F.col("spend_wow_change")
-    steady = F.abs(change) < _decimal(STEADY_CHANGE)
     return _emit(
-        latest_week(weekly).filter(change.isNotNull()),
+        latest_week(weekly).filter("spend_wow_change IS NOT NULL"),
         _finding(
-            7, messages.WEEKLY_TREND, F.when(steady, "neutral").otherwise("warning"),
-            F.col("platform"), F.col("spend"), None, change,
-            texts=dict(
-                platform=F.col("platform"),
-                direction=F.when(change > 0, "increased").otherwise("decreased"),
-                change=percent(F.abs(change), 1),
-                spend=money(F.col("spend")),
-                conversions_change=percent(F.col("conversions_wow_change"), 1),
-            ),
+            7, messages.WEEKLY_TREND,
+            f"IF(ABS(spend_wow_change) < {STEADY_CHANGE}, 'neutral', 'warning')",
+            "platform",
+            {
+                "platform": "platform",
+                "direction": "IF(spend_wow_change > 0, 'increased', 'decreased')",
+                "change": percent("ABS(spend_wow_change)", 1),
+                "spend": money("spend"),
+                "conversions_change": percent("conversions_wow_change", 1),
+            },
+            "spend", "NULL", "spend_wow_change",
         ),
     )
 
 
 def executive_insights(plat: DataFrame, camp: DataFrame, weekly: DataFrame) -> DataFrame:
-    """All findings; no rows for an empty mart. Sort by rule_no for output.
-
-    Within rules 2 and 7 the platforms are told apart by subject.
-    """
+    """All findings; no rows for an empty mart. ``ordered_insights`` sorts them for output."""
     return platform_findings(plat).unionByName(campaign_findings(camp)).unionByName(trend_findings(weekly))
 
 
 def ordered_insights(findings: DataFrame) -> DataFrame:
     """Rule by rule; budget findings by spend share, trends by platform name."""
-    by_spend = F.when(F.col("rule_no") == 2, -F.col("benchmark"))
-    return findings.orderBy("rule_no", by_spend.asc_nulls_last(), "subject")
+    by_spend = findings.selectExpr("*", "IF(rule_no = 2, -benchmark, NULL) AS _by_spend")
+    return by_spend.orderBy("rule_no", "_by_spend", "subject").drop("_by_spend")
 
 
-def _recommendation(order: int, kind: str, subject: Column, text: Column, value: Column) -> Column:
-    return F.struct(
-        F.lit(order).alias("rec_order"),
-        F.lit(kind).alias("kind"),
-        subject.alias("subject"),
-        text.alias("text"),
-        value.cast(_NUMBER).alias("value"),
+def _recommendation(order: int, kind: str, subject: str, text: str, value: str) -> str:
+    return _struct(
+        rec_order=str(order), kind=literal(kind), subject=subject, text=text, value=f"CAST({value} AS {_NUMBER})"
     )
 
 
 def platform_recommendations(plat: DataFrame) -> DataFrame:
     """Raise the platform with the lowest CPA; keep three platforms if there are three."""
-    everything = Window.partitionBy()
-    first = Window.orderBy(F.col("total_spend").desc_nulls_last(), "platform")
-    shown = _with_extremes(plat).withColumns(
-        {
-            "share": ratio("total_spend", "SUM(total_spend) OVER ()", 4),
-            "platforms": F.count(F.lit(1)).over(everything),
-            "position": F.row_number().over(first),
-        }
+    shown = _with_extremes(plat).selectExpr(
+        "*",
+        "COALESCE(ROUND(CAST(total_spend AS DECIMAL(20,2)) / NULLIF(SUM(total_spend) OVER (), 0), 4), 0) AS share",
+        "COUNT(*) OVER () AS platforms",
+        "ROW_NUMBER() OVER (ORDER BY total_spend DESC NULLS LAST, platform) AS position",
     )
-    share = F.coalesce(F.col("share"), F.lit(0).cast(_NUMBER))
     return _emit(
         shown,
-        F.when(
-            F.col("is_lowest_cpa"),
+        _when(
+            "is_lowest_cpa",
             _recommendation(
-                1, "raise_platform", F.col("platform"),
+                1, "raise_platform", "platform",
                 fill(
-                    messages.RAISE_PLATFORM, platform=F.col("platform"), share=percent(share, 0),
-                    cpa=money(F.col("avg_cpa")), other=F.col("highest_cpa_platform"),
+                    messages.RAISE_PLATFORM,
+                    {
+                        "platform": "platform",
+                        "share": percent("share", 0),
+                        "cpa": money("avg_cpa"),
+                        "other": "highest_cpa_platform",
+                    },
                 ),
-                share,
+                "share",
             ),
         ),
-        F.when(
-            (F.col("platforms") == DIVERSIFIED_PLATFORMS) & (F.col("position") == 1),
+        _when(
+            f"platforms = {DIVERSIFIED_PLATFORMS} AND position = 1",
             _recommendation(
-                4, "keep_diversification", F.lit("all"), F.lit(messages.KEEP_DIVERSIFICATION), F.col("platforms")
+                4, "keep_diversification", "'all'", literal(messages.KEEP_DIVERSIFICATION), "platforms"
             ),
         ),
     )
@@ -269,12 +271,12 @@ def campaign_recommendations(camp: DataFrame) -> DataFrame:
     return _emit(
         _campaign_extremes(camp).filter("campaigns > 1"),
         _recommendation(
-            2, "scale_campaign", F.col("best.campaign_name"),
-            fill(messages.SCALE_CAMPAIGN, **_campaign_texts("best")), F.col("best.avg_cpa"),
+            2, "scale_campaign", "best.campaign_name",
+            fill(messages.SCALE_CAMPAIGN, _campaign_texts("best")), "best.avg_cpa",
         ),
         _recommendation(
-            3, "optimise_campaign", F.col("worst.campaign_name"),
-            fill(messages.OPTIMISE_CAMPAIGN, **_campaign_texts("worst")), F.col("worst.avg_cpa"),
+            3, "optimise_campaign", "worst.campaign_name",
+            fill(messages.OPTIMISE_CAMPAIGN, _campaign_texts("worst")), "worst.avg_cpa",
         ),
     )
 

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spendweave.functions.kpis import inverse
@@ -26,7 +26,7 @@ from spendweave.operators.windows import normalise_to_max, percent_of_first, wit
 from spendweave.plans.marts import funnel_totals, kpi_totals, platform_totals
 from spendweave.sources.specs import GOOGLE, TIKTOK
 
-Format = Callable[[Column], Column]
+Format = Callable[[str], str]
 
 
 def _percent(places: int) -> Format:
@@ -74,7 +74,7 @@ RADAR_AXES = {
 
 def _table(df: DataFrame, layout: dict[str, tuple[str, Format | None]], as_text: bool) -> DataFrame:
     if as_text:
-        formats = {c: fmt(F.col(c)) for c, (_, fmt) in layout.items() if fmt}
+        formats = {c: F.expr(fmt(c)) for c, (_, fmt) in layout.items() if fmt}
         df = df.withColumns(formats)
     return select_columns(df, {c: shown for c, (shown, _) in layout.items()})
 
@@ -97,7 +97,7 @@ def kpi_cards(filtered: DataFrame, as_text: bool = False) -> DataFrame:
         "avg_cpc": money,
         "avg_conversion_rate": _percent(2),
     }
-    return totals.select(*[fmt(F.col(c)).alias(c) for c, fmt in cards.items()])
+    return totals.selectExpr(*[f"{fmt(c)} AS {c}" for c, fmt in cards.items()])
 
 
 def panel_daily_spend(daily_f: DataFrame) -> DataFrame:

@@ -27,10 +27,10 @@ _PRICE = "CAST(l_extendedprice AS DECIMAL(12,2))"
 
 MEASURES = {
     "date": "CAST(l_shipdate AS DATE)",
-    "campaign_id": "p_brand",
-    "campaign_name": "CONCAT('C_', p_brand)",
-    "ad_group_id": "CONCAT(p_brand, '/', p_type)",
-    "ad_group_name": "p_type",
+    "campaign_id": "campaign_id",
+    "campaign_name": "campaign_name",
+    "ad_group_id": "ad_group_id",
+    "ad_group_name": "ad_group_name",
     "impressions": f"({_QUANTITY} - 1) * 100",
     "clicks": f"GREATEST({_QUANTITY} - {_LINE}, 0)",
     "spend": _PRICE,
@@ -63,6 +63,13 @@ def _landing(spark: SparkSession, data_dir: str) -> DataFrame:
         spark.read.parquet(f"{data_dir}/part.parquet")
         .groupBy("p_partkey")
         .agg(F.first("p_brand").alias("p_brand"), F.first("p_type").alias("p_type"))
+        .selectExpr(
+            "p_partkey",
+            "p_brand AS campaign_id",
+            "CONCAT('C_', p_brand) AS campaign_name",
+            "CONCAT(p_brand, '/', p_type) AS ad_group_id",
+            "p_type AS ad_group_name",
+        )
     )
     return lineitem.join(part, F.expr("l_partkey = p_partkey"), "left").filter("l_returnflag IN ('A', 'N', 'R')")
 

@@ -75,7 +75,7 @@ def publish(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataF
     does not end up in one task.
     """
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-    stored = df.sparkSession.read.parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
     return stored.select(*df.columns)
 
 
