@@ -80,20 +80,29 @@ def publish(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataF
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """The shared folder that intermediate tables go to: ``spark.checkpoint.dir``.
+    """This application's part of the shared folder named by ``spark.checkpoint.dir``.
 
     Only a local session without that setting gets a temporary folder. On a cluster
     it has to be set, since executors cannot share a machine-local path.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if folder:
-        return folder
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
-    folder = tempfile.mkdtemp(prefix="spendweave-")
-    context.setCheckpointDir(folder)
-    return folder
+    if not folder:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
+        folder = tempfile.mkdtemp(prefix="spendweave-")
+        context.setCheckpointDir(folder)
+    return f"{folder}/spendweave/{context.applicationId}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this application.
+
+    Frames that were built on them, such as ranked campaigns, cannot be read any more;
+    publish what is to be kept first.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame, label: str) -> tuple[DataFrame, int]:
@@ -104,7 +113,7 @@ def materialise(df: DataFrame, label: str) -> tuple[DataFrame, int]:
     the write. A retried task can only raise it, so it is safe as an upper bound.
     """
     spark = df.sparkSession
-    path = f"{scratch_folder(spark)}/spendweave/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_folder(spark)}/{label}-{uuid.uuid4().hex}"
     seen = Observation(f"{label}-{uuid.uuid4().hex}")
     df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path), seen.get["rows"]

@@ -5,7 +5,7 @@ import pytest
 
 from spendweave.plans.audit import length_violations, row_counts
 from spendweave.sources.specs import FACEBOOK, GOOGLE, TIKTOK
-from spendweave.sources.store import get_view, load_raw, publish, read_raw, scratch_folder
+from spendweave.sources.store import drop_scratch, get_view, load_raw, materialise, publish, read_raw, scratch_folder
 
 HEADER = ",".join(FACEBOOK.columns)
 GOOD = "2024-01-01,fb_1,Brand,set_1,Set,100,10,5.50,2,50,0.0123,90,1.20"
@@ -126,4 +126,17 @@ def test_length_check_counts(spark):
 
 def test_scratch_folder_comes_from_the_session(spark):
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    assert scratch_folder(spark) == (configured or spark.sparkContext.getCheckpointDir())
+    folder = scratch_folder(spark)
+    assert folder.startswith(configured or spark.sparkContext.getCheckpointDir())
+    assert folder.endswith(spark.sparkContext.applicationId)
+
+
+def test_scratch_tables_count_their_rows_and_can_be_dropped(spark, tmp_path):
+    kept, rows = materialise(spark.range(1000).repartition(7), "numbers")
+    assert rows == 1000 and kept.count() == 1000
+    gone, _ = materialise(spark.range(5), "few")
+    out = publish(kept, str(tmp_path / "kept"))
+    drop_scratch(spark)
+    assert out.count() == 1000
+    with pytest.raises(Exception):
+        gone.collect()

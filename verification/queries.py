@@ -111,7 +111,7 @@ def _csv_load(index: int) -> Query:
 
     def query(spark: SparkSession, folder: str) -> DataFrame:
         spec = SPECS[index]
-        base = f"{scratch_folder(spark)}/spendweave/load-{uuid4().hex}"
+        base = f"{scratch_folder(spark)}/load-{uuid4().hex}"
         raw_feeds(spark, folder)[index].write.option("header", True).csv(f"{base}/csv")
         return plain(load_raw(spark, f"{base}/csv", f"{base}/table", spec))
 
@@ -119,7 +119,7 @@ def _csv_load(index: int) -> Query:
 
 
 def _published_counts(*feeds: DataFrame) -> DataFrame:
-    folder = f"{scratch_folder(feeds[0].sparkSession)}/spendweave/marts-{uuid4().hex}"
+    folder = f"{scratch_folder(feeds[0].sparkSession)}/marts-{uuid4().hex}"
     return audit.row_counts(pipeline.publish_marts(*feeds, folder))
 
 
