@@ -9,6 +9,9 @@ told apart by ``l_returnflag``.
 * ``landing_facts`` gives the same unified rows in a single scan: a column that a
   platform does not deliver is NULL on its rows. Three filtered reads of one big
   table would cost three times the input.
+
+Campaigns and ad groups come from the lookup in ``part``. Queries that read none of
+their columns take the frames with ``campaigns=False``, without the join.
 """
 
 from __future__ import annotations
@@ -25,12 +28,17 @@ _QUANTITY = "CAST(l_quantity AS BIGINT)"
 _LINE = "CAST(l_linenumber AS BIGINT)"
 _PRICE = "CAST(l_extendedprice AS DECIMAL(12,2))"
 
+# of each part: computed once per part, not per row
+LOOKUP = {
+    "campaign_id": "p_brand",
+    "campaign_name": "CONCAT('C_', p_brand)",
+    "ad_group_id": "CONCAT(p_brand, '/', p_type)",
+    "ad_group_name": "p_type",
+}
+
 MEASURES = {
     "date": "CAST(l_shipdate AS DATE)",
-    "campaign_id": "campaign_id",
-    "campaign_name": "campaign_name",
-    "ad_group_id": "ad_group_id",
-    "ad_group_name": "ad_group_name",
+    **{name: name for name in LOOKUP},
     "impressions": f"({_QUANTITY} - 1) * 100",
     "clicks": f"GREATEST({_QUANTITY} - {_LINE}, 0)",
     "spend": _PRICE,
@@ -54,24 +62,15 @@ MEASURES = {
 }
 
 
-def _landing(spark: SparkSession, data_dir: str) -> DataFrame:
-    lineitem = spark.read.parquet(f"{data_dir}/lineitem.parquet")
-    # Unique on its key by construction, so Catalyst removes the outer join from
-    # every query that reads no campaign column. No broadcast hint: the table grows
-    # with the data, and AQE picks broadcast or a skew-split sort-merge by its size.
-    part = (
-        spark.read.parquet(f"{data_dir}/part.parquet")
-        .groupBy("p_partkey")
-        .agg(F.first("p_brand").alias("p_brand"), F.first("p_type").alias("p_type"))
-        .selectExpr(
-            "p_partkey",
-            "p_brand AS campaign_id",
-            "CONCAT('C_', p_brand) AS campaign_name",
-            "CONCAT(p_brand, '/', p_type) AS ad_group_id",
-            "p_type AS ad_group_name",
-        )
-    )
-    return lineitem.join(part, F.expr("l_partkey = p_partkey"), "left").filter("l_returnflag IN ('A', 'N', 'R')")
+def _landing(spark: SparkSession, data_dir: str, campaigns: bool) -> DataFrame:
+    lineitem = spark.read.parquet(f"{data_dir}/lineitem.parquet").filter("l_returnflag IN ('A', 'N', 'R')")
+    if not campaigns:
+        return lineitem.selectExpr("*", *[f"CAST(NULL AS STRING) AS {name}" for name in LOOKUP])
+    part = spark.read.parquet(f"{data_dir}/part.parquet")
+    part = part.selectExpr("p_partkey", *[f"{value} AS {name}" for name, value in LOOKUP.items()])
+    # No broadcast hint: the table grows with the data. By its size it is broadcast, or
+    # joined sort-merge, where AQE splits the partition of a part that many rows name.
+    return lineitem.join(part, F.expr("l_partkey = p_partkey"), "left")
 
 
 def _as_raw(landing: DataFrame, spec: SourceSpec) -> DataFrame:
@@ -83,13 +82,15 @@ def _as_raw(landing: DataFrame, spec: SourceSpec) -> DataFrame:
     return landing.filter(f"l_returnflag = '{FLAG[spec.platform]}'").selectExpr(*columns)
 
 
-def raw_feeds(spark: SparkSession, data_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+def raw_feeds(
+    spark: SparkSession, data_dir: str, campaigns: bool = True
+) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Facebook-, Google- and TikTok-shaped raw frames."""
-    landing = _landing(spark, data_dir)
+    landing = _landing(spark, data_dir, campaigns)
     return tuple(_as_raw(landing, spec) for spec in (FACEBOOK, GOOGLE, TIKTOK))
 
 
-def landing_facts(spark: SparkSession, data_dir: str) -> DataFrame:
+def landing_facts(spark: SparkSession, data_dir: str, campaigns: bool = True) -> DataFrame:
     """The unified view of the landing table, read once."""
     platforms = " ".join(f"WHEN '{FLAG[s.platform]}' THEN '{s.platform}'" for s in SPECS)
 
@@ -102,7 +103,7 @@ def landing_facts(spark: SparkSession, data_dir: str) -> DataFrame:
         flags = ", ".join(f"'{o}'" for o in owners)
         return f"IF(l_returnflag IN ({flags}), {MEASURES[name]}, NULL)"
 
-    facts = _landing(spark, data_dir).selectExpr(
+    facts = _landing(spark, data_dir, campaigns).selectExpr(
         *[f"CAST({source(f.name)} AS {f.type}) AS {f.name}" for f in FACT_FIELDS]
     )
     return with_row_kpis(facts)

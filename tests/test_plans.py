@@ -5,6 +5,8 @@ from pathlib import Path
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from spendweave.operators.selection import Selection, filter_daily, filter_facts, filter_platform
 from spendweave.operators.unify import unified_ads
 from spendweave.plans import insights, marts
@@ -90,9 +92,39 @@ def test_single_scan_equals_the_three_feeds(spark):
 
 
 @needs_data
-def test_lookup_is_dropped_where_no_campaign_is_read(spark):
-    facts = landing_facts(spark, DATA)
-    assert "part.parquet" not in plan_of(marts.daily_platform_summary(facts))
-    assert "part.parquet" in plan_of(marts.campaign_totals(facts))
+def test_queries_without_campaigns_do_not_join(spark):
+    facts = landing_facts(spark, DATA, campaigns=False)
+    assert facts.schema == landing_facts(spark, DATA).schema
+    assert "Join" not in plan_of(marts.daily_platform_summary(facts))
     chosen = Selection(dates=(date(1996, 1, 1), date(1997, 1, 1)))
     assert "GreaterThanOrEqual(l_shipdate,1996-01-01" in plan_of(filter_facts(facts, chosen))
+
+
+@needs_data
+def test_a_part_with_a_third_of_all_rows_is_split(spark, tmp_path):
+    lineitem = spark.read.parquet(f"{DATA}/lineitem.parquet")
+    hot = lineitem.withColumn("l_partkey", F.expr("IF(l_linenumber < 3, 7, l_partkey)"))
+    hot.repartition(6).write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.read.parquet(f"{DATA}/part.parquet").write.parquet(str(tmp_path / "part.parquet"))
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+    }
+    before = {key: spark.conf.get(key, None) for key in small}
+    for key, value in small.items():
+        spark.conf.set(key, value)
+    try:
+        totals = marts.campaign_totals_from_rollup(
+            marts.campaign_rollup(landing_facts(spark, str(tmp_path)))
+        )
+        rows = sorted(totals.collect(), key=str)
+        plan = totals._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in plan
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    plain = marts.campaign_totals(landing_facts(spark, str(tmp_path)))
+    assert sorted(plain.collect(), key=str) == rows

@@ -53,6 +53,11 @@ def _on_facts(build: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, folder: plain(build(landing_facts(spark, folder)))
 
 
+def _on_delivery(build: Callable[[DataFrame], DataFrame]) -> Query:
+    """On facts whose campaign columns are not looked up, since nothing reads them."""
+    return lambda spark, folder: plain(build(landing_facts(spark, folder, campaigns=False)))
+
+
 def _on_feed(index: int, build: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, folder: plain(build(raw_feeds(spark, folder)[index]))
 
@@ -65,8 +70,8 @@ def _daily(u: DataFrame) -> DataFrame:
     return marts.daily_platform_summary(u)
 
 
-def _findings(rules: list[int], build: Callable[[DataFrame], DataFrame]) -> Query:
-    return _on_facts(lambda u: build(u).filter(F.col("rule_no").isin(rules)).select(*EVIDENCE))
+def _findings(rules: list[int], build: Callable[[DataFrame], DataFrame], on=_on_delivery) -> Query:
+    return on(lambda u: build(u).filter(F.col("rule_no").isin(rules)).select(*EVIDENCE))
 
 
 def _platform_findings(u: DataFrame) -> DataFrame:
@@ -83,12 +88,13 @@ def _recommendations(u: DataFrame) -> DataFrame:
     return recs.select("rec_order", "kind", "subject", "value")
 
 
-def _view_counts(u: DataFrame) -> DataFrame:
+def _view_counts(spark: SparkSession, folder: str) -> DataFrame:
+    u = landing_facts(spark, folder, campaigns=False)
     return audit.row_counts(
         {
             "UNIFIED_ADS": u,
             "DAILY_PLATFORM_SUMMARY": marts.daily_platform_summary(u),
-            "CAMPAIGN_PERFORMANCE": marts.campaign_totals(u),
+            "CAMPAIGN_PERFORMANCE": marts.campaign_totals(landing_facts(spark, folder)),
             "PLATFORM_SUMMARY": marts.platform_summary(u),
         },
         name="view_name",
@@ -134,10 +140,10 @@ QUERIES: dict[str, Query] = {
     "unified_ads": _on_feeds(unified_ads),
     "unified_row_kpis": _on_facts(lambda u: u),
     "published_row_counts": _on_feeds(_published_counts),
-    "raw_row_counts": _on_feeds(_raw_counts),
-    "view_row_counts": _on_facts(_view_counts),
+    "raw_row_counts": lambda spark, folder: plain(_raw_counts(*raw_feeds(spark, folder, campaigns=False))),
+    "view_row_counts": lambda spark, folder: plain(_view_counts(spark, folder)),
     # marts
-    "daily_platform_summary": _on_facts(_daily),
+    "daily_platform_summary": _on_delivery(_daily),
     "campaign_totals": _on_facts(marts.campaign_totals),
     "campaign_performance": _on_facts(marts.campaign_performance),
     "campaign_ranks_counted": _on_facts(
@@ -146,38 +152,38 @@ QUERIES: dict[str, Query] = {
         )
     ),
     "platform_summary": _on_facts(marts.platform_summary),
-    "weekly_rollup": _on_facts(marts.weekly_rollup),
-    "weekly_trends": _on_facts(marts.weekly_trends),
+    "weekly_rollup": _on_delivery(marts.weekly_rollup),
+    "weekly_trends": _on_delivery(marts.weekly_trends),
     "video_funnel": _on_feed(2, marts.video_funnel),
     "quality_analysis": _on_feed(1, marts.quality_analysis),
-    "kpi_totals": _on_facts(marts.kpi_totals),
-    "platform_totals": _on_facts(marts.platform_totals),
+    "kpi_totals": _on_delivery(marts.kpi_totals),
+    "platform_totals": _on_delivery(marts.platform_totals),
     "funnel_totals": _on_feed(2, lambda raw: marts.funnel_totals(marts.video_funnel(raw))),
-    "latest_week": _on_facts(lambda u: latest_week(marts.weekly_trends(u))),
+    "latest_week": _on_delivery(lambda u: latest_week(marts.weekly_trends(u))),
     "best_worst_campaign": _on_facts(_best_and_worst),
     # selection
-    "date_bounds": _on_facts(sel.date_bounds),
+    "date_bounds": _on_delivery(sel.date_bounds),
     "distinct_campaigns": _on_facts(lambda u: pick.distinct_values(u, "campaign_name")),
     "filter_options": _on_facts(lambda u: sel.filter_options(u, CHOSEN.platforms)),
     "filter_facts": _on_facts(lambda u: sel.filter_facts(u, CHOSEN)),
-    "filter_daily": _on_facts(lambda u: sel.filter_daily(_daily(u), CHOSEN)),
+    "filter_daily": _on_delivery(lambda u: sel.filter_daily(_daily(u), CHOSEN)),
     "filter_campaigns": _on_facts(lambda u: sel.filter_campaigns(marts.campaign_performance(u), CHOSEN)),
-    "filter_platform": _on_facts(lambda u: sel.filter_platform(marts.weekly_trends(u), CHOSEN)),
+    "filter_platform": _on_delivery(lambda u: sel.filter_platform(marts.weekly_trends(u), CHOSEN)),
     "filter_platform_summary": _on_facts(lambda u: sel.filter_platform(marts.platform_summary(u), CHOSEN)),
     "filter_platform_facts": _on_feeds(
         lambda *feeds: sel.filter_platform(unified_ads(*feeds), sel.Selection(platforms=["Google"]))
     ),
     # panels
     "kpi_cards": _on_facts(lambda u: panels.kpi_cards(sel.filter_facts(u, CHOSEN))),
-    "panel_daily_spend": _on_facts(lambda u: panels.panel_daily_spend(_daily(u))),
-    "panel_spend_share": _on_facts(panels.panel_spend_share),
-    "panel_conversions": _on_facts(panels.panel_conversions),
-    "panel_daily_conversions": _on_facts(lambda u: panels.panel_daily_conversions(_daily(u))),
+    "panel_daily_spend": _on_delivery(lambda u: panels.panel_daily_spend(_daily(u))),
+    "panel_spend_share": _on_delivery(panels.panel_spend_share),
+    "panel_conversions": _on_delivery(panels.panel_conversions),
+    "panel_daily_conversions": _on_delivery(lambda u: panels.panel_daily_conversions(_daily(u))),
     "panel_platform_table": _on_facts(lambda u: panels.panel_platform_table(marts.platform_summary(u))),
-    "panel_radar": _on_facts(lambda u: panels.panel_radar(marts.platform_summary(u))),
-    "panel_daily_cpa": _on_facts(lambda u: panels.panel_daily_cpa(_daily(u))),
-    "panel_cpm": _on_facts(lambda u: panels.panel_cpm(marts.platform_summary(u))),
-    "panel_weekly_spend": _on_facts(lambda u: panels.panel_weekly_spend(marts.weekly_trends(u))),
+    "panel_radar": _on_delivery(lambda u: panels.panel_radar(marts.platform_summary(u))),
+    "panel_daily_cpa": _on_delivery(lambda u: panels.panel_daily_cpa(_daily(u))),
+    "panel_cpm": _on_delivery(lambda u: panels.panel_cpm(marts.platform_summary(u))),
+    "panel_weekly_spend": _on_delivery(lambda u: panels.panel_weekly_spend(marts.weekly_trends(u))),
     "panel_funnel_stages": _on_feed(
         2, lambda raw: panels.panel_funnel_stages(marts.video_funnel(raw), EVERYTHING)
     ),
@@ -191,7 +197,9 @@ QUERIES: dict[str, Query] = {
     # findings
     "insight_cpa_platform": _findings([1], _platform_findings),
     "insight_budget": _findings([2], _platform_findings),
-    "insight_campaigns": _findings([3, 4], lambda u: insights.campaign_findings(marts.campaign_totals(u))),
+    "insight_campaigns": _findings(
+        [3, 4], lambda u: insights.campaign_findings(marts.campaign_totals(u)), on=_on_facts
+    ),
     "insight_ctr_leader": _findings([5], _platform_findings),
     "insight_volume_leader": _findings([6], _platform_findings),
     "insight_trend": _findings([7], lambda u: insights.trend_findings(marts.weekly_trends(u))),
