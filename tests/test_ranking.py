@@ -48,3 +48,30 @@ def test_no_row_goes_to_a_single_task_beyond_the_limit(spark):
     single = [part for part in text.split("Exchange SinglePartition")[1:]]
     # the one gather left is that of slice totals, right above their aggregate
     assert len(single) == 1 and "keys=[_slice" in single[0].splitlines()[1]
+
+
+def test_a_value_of_a_third_of_all_rows_is_split(spark):
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+    }
+    before = {key: spark.conf.get(key, None) for key in small}
+    df = spark.range(0, 20000, 1, 6).withColumn("v", F.expr("IF(id % 3 = 0, NULL, id % 5000)"))
+    try:
+        for key, value in small.items():
+            spark.conf.set(key, value)
+        ranked = with_global_ranks(df, [Ranking("r", F.col("v"))], window_rows=0, rows_per_slice=2000)
+        got = {r.id: r.r for r in ranked.collect()}
+        assert "SortMergeJoin(skew=true)" in ranked._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    values = [None if i % 3 == 0 else i % 5000 for i in range(20000)]
+    below, seen = {}, 0
+    for v in sorted(v for v in values if v is not None):
+        below.setdefault(v, seen)
+        seen += 1
+    assert got == {i: 1 + (seen if v is None else below[v]) for i, v in enumerate(values)}
