@@ -43,7 +43,8 @@ def test_null_token_is_exact(spark, tmp_path):
 
 
 def test_whole_number_with_decimals(spark, tmp_path):
-    assert _read(spark, tmp_path, GOOD.replace(",100,", ",100.0,")).first().impressions == 100
+    rows = _read(spark, tmp_path, GOOD.replace(",100,", ",100.0,"), GOOD.replace(",100,", ",12.5,")).collect()
+    assert [r.impressions for r in rows] == [100, 13]
 
 
 @pytest.mark.parametrize(

@@ -5,7 +5,7 @@ import pytest
 from spendweave.operators.pick import MART_ORDER, ordered
 from spendweave.operators.unify import conform, unified_ads, unify
 from spendweave.plans import marts, pipeline
-from spendweave.sources.specs import FACEBOOK, GOOGLE, SPECS, TIKTOK, UNIFIED_COLUMNS
+from spendweave.sources.specs import GOOGLE, SPECS, UNIFIED_COLUMNS
 from tests import ads
 from tests.ads import DAY, as_rows, distinct, grouped, half_up, kpis, rank, rows_of, total, week
 
