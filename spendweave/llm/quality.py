@@ -23,7 +23,7 @@ SAMPLE_ROWS, SAMPLE_BYTES = 500, 100_000
 WORDS = f"regexp_extract_all(_text, r'{WORD}', 0)"
 LINES = r"filter(split(_text, '\n'), l -> l RLIKE r'" + WORD + "')"
 N_SYMBOLS = "cast(regexp_count(_text, '[#*$%&|<>]') AS bigint)"
-WORD_CHARS = r"cast(length(translate(_text, ' \t\n\u000B\f\r', '')) AS bigint)"
+WORD_CHARS = r"cast(length(translate(_text, ' \u0009\u000A\u000B\u000C\u000D', '')) AS bigint)"
 N_DUP_LINES = f"transform(array({LINES}), l -> cast(size(l) - size(array_distinct(l)) AS bigint))[0]"
 
 # Windows of eight words by hash. Texts whose windows all differ, most of them, need no more;
