@@ -7,7 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from spendweave.llm import pii, quality, secrets
+from spendweave.llm import pii, quality, secretscan, simhash, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,6 +18,16 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprint and near-duplicate component per document."""
+    return simhash.digest(simhash.near_duplicates(_table(spark, folder, "documents")))
+
+
+def op5_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """Records of all pages, written to archives and read back."""
+    return warc.read_archives(warc.write_archives(_table(spark, folder, "pages"))).drop("url")
+
+
 def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Counts and verdicts of the quality rules per document."""
     docs = _table(spark, folder, "documents")
@@ -27,7 +37,7 @@ def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
 def op9_secrets(spark: SparkSession, folder: str) -> DataFrame:
     """Secrets per document, scanned blob by blob through a ledger."""
     docs = _table(spark, folder, "documents").select("doc_id", "text")
-    return secrets.digest(secrets.scan(docs, secrets.new_ledger(spark)))
+    return secretscan.digest(secretscan.scan(docs, secretscan.new_ledger(spark)))
 
 
 def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
@@ -37,6 +47,8 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_simhash": op1_simhash,
+    "op5_warc": op5_warc,
     "op8_quality": op8_quality,
     "op9_secrets": op9_secrets,
     "op10_pii": op10_pii,
