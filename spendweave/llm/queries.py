@@ -7,7 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from spendweave.llm import pii, quality, secretscan, simhash, warc
+from spendweave.llm import bpe, pii, quality, secretscan, simhash, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +23,11 @@ def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.digest(simhash.near_duplicates(_table(spark, folder, "documents")))
 
 
+def op3_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of every document, and the bytes that they decode to."""
+    return bpe.round_trip(_table(spark, folder, "documents").select("doc_id", "text")).drop("text")
+
+
 def op5_warc(spark: SparkSession, folder: str) -> DataFrame:
     """Records of all pages, written to archives and read back."""
     return warc.read_archives(warc.write_archives(_table(spark, folder, "pages"))).drop("url")
@@ -48,6 +53,7 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
+    "op3_bpe": op3_bpe,
     "op5_warc": op5_warc,
     "op8_quality": op8_quality,
     "op9_secrets": op9_secrets,
