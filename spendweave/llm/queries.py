@@ -7,7 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from spendweave.llm import bpe, pii, quality, secretscan, simhash, warc
+from spendweave.llm import bpe, decontaminate, pii, quality, repair, secretscan, simhash, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,6 +33,17 @@ def op5_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.read_archives(warc.write_archives(_table(spark, folder, "pages"))).drop("url")
 
 
+def op6_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Place and check sum of every document's ids, read back from compressed shards."""
+    return repair.read_shards(repair.write_shards(_table(spark, folder, "documents")))
+
+
+def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    """Benchmark items in documents, with place and edits."""
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    return decontaminate.digest(decontaminate.mark(docs, _table(spark, folder, "benchmark")))
+
+
 def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Counts and verdicts of the quality rules per document."""
     docs = _table(spark, folder, "documents")
@@ -55,6 +66,8 @@ QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op3_bpe": op3_bpe,
     "op5_warc": op5_warc,
+    "op6_repair": op6_repair,
+    "op7_decontaminate": op7_decontaminate,
     "op8_quality": op8_quality,
     "op9_secrets": op9_secrets,
     "op10_pii": op10_pii,
