@@ -81,8 +81,18 @@ RULES = [
 ]
 
 
-def _prepared(docs: DataFrame, text: str) -> DataFrame:
-    return docs.drop("_text", "words").withColumn("_text", text_of(text)).withColumn("words", F.expr(WORDS))
+def _of_words(body: str) -> Column:
+    """An expression that reads the array ``words``. Bound in place, so that the optimiser, when it
+    moves the expression, cannot put the split into a lambda that runs for each word."""
+    return F.expr(f"transform(array({WORDS}), words -> {body})[0]")
+
+
+def _verdict(rules, measured: bool) -> str:
+    return "CASE " + " ".join(f"WHEN {r.sql(measured)} THEN '{r.name}'" for r in rules) + " END"
+
+
+def _with_text(docs: DataFrame, text: str) -> DataFrame:
+    return docs.drop("_text").withColumn("_text", text_of(text))
 
 
 def ordered_rules(docs: DataFrame, rules=RULES, text: str = "text") -> list[Rule]:
@@ -91,13 +101,13 @@ def ordered_rules(docs: DataFrame, rules=RULES, text: str = "text") -> list[Rule
     rows = sample.take(SAMPLE_ROWS)
     if not rows:
         return list(rules)
-    frame = _prepared(docs.sparkSession.createDataFrame(rows, "text string"), "text")
+    frame = _with_text(docs.sparkSession.createDataFrame(rows, "text string"), "text")
 
     def timed(condition: str) -> tuple[int, float]:
         best = float("inf")
         for _ in range(2):  # the first run also compiles
             began = time.perf_counter()
-            rejected = frame.agg(F.expr(f"count_if({condition})")).first()[0]
+            rejected = frame.agg(F.count_if(_of_words(condition))).first()[0]
             best = min(best, time.perf_counter() - began)
         return rejected, best
 
@@ -109,25 +119,22 @@ def ordered_rules(docs: DataFrame, rules=RULES, text: str = "text") -> list[Rule
     return [rules[i] for _, i in sorted(ranked)]
 
 
-def _verdict(rules, measured: bool) -> Column:
-    return F.expr("CASE " + " ".join(f"WHEN {r.sql(measured)} THEN '{r.name}'" for r in rules) + " END")
-
-
 def cascade(docs: DataFrame, rules=RULES, text: str = "text") -> DataFrame:
     """``docs`` with ``rejected_by``: the name of the first rule that rejects, or null.
 
-    A null text is the empty text, which has no words. Columns ``_text``, ``words`` and
-    ``rejected_by`` of ``docs`` are replaced. Rows repeat as they are given.
+    A null text is the empty text, which has no words. Columns ``_text`` and ``rejected_by`` of
+    ``docs`` are replaced. Rows repeat as they are given.
     """
-    out = _prepared(docs.drop("rejected_by"), text).withColumn("rejected_by", _verdict(rules, False))
-    return out.drop("_text", "words")
+    out = _with_text(docs.drop("rejected_by"), text)
+    return out.withColumn("rejected_by", _of_words(_verdict(rules, False))).drop("_text")
 
 
 def measured_cascade(docs: DataFrame, rules=RULES, text: str = "text") -> DataFrame:
     """As cascade(), but with the columns of MEASURES for every row, which rules then read."""
-    out = _prepared(docs.drop("rejected_by", *MEASURES), text)
-    out = out.withColumns({m: F.expr(EXPRESSIONS[m]) for m in MEASURES})
-    return out.withColumn("rejected_by", _verdict(rules, True)).drop("_text", "words")
+    out = _with_text(docs.drop("rejected_by", "_measures", *MEASURES), text)
+    fields = ", ".join(f"'{m}', {EXPRESSIONS[m]}" for m in MEASURES)
+    out = out.withColumn("_measures", _of_words(f"named_struct({fields})")).select("*", "_measures.*")
+    return out.withColumn("rejected_by", F.expr(_verdict(rules, True))).drop("_text", "_measures")
 
 
 def digest(judged: DataFrame) -> DataFrame:

@@ -3,18 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from spendweave.llm import bpe, decontaminate, pii, quality, repair, secretscan, simhash, warc
+from spendweave.llm import bpe, decontaminate, htmltext, pii, quality, repair, secretscan, simhash, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    if spark.sparkContext.master.startswith("local["):  # workers of a local session may start in any folder
-        spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
@@ -23,6 +20,11 @@ def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.digest(simhash.near_duplicates(_table(spark, folder, "documents")))
 
 
+def op2_html(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    return htmltext.extract(_table(spark, folder, "pages").select("page_id", "url", "html"))
+
+
 def op3_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Ids of every document, and the bytes that they decode to."""
     return bpe.round_trip(_table(spark, folder, "documents").select("doc_id", "text")).drop("text")
@@ -64,6 +66,7 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
+    "op2_html": op2_html,
     "op3_bpe": op3_bpe,
     "op5_warc": op5_warc,
     "op6_repair": op6_repair,
