@@ -6,8 +6,8 @@ from pathlib import Path
 
 from pyspark.sql import SparkSession
 
-#: Rows of texts in an Arrow batch. Texts may be long, and a batch is in memory as a whole.
-TEXT_ROWS = 256
+#: Rows of an Arrow batch; Spark also closes it at spark.sql.execution.arrow.maxBytesPerBatch bytes (64 MB).
+TEXT_ROWS = 4096
 
 
 def small_batches(spark: SparkSession) -> None:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from spendweave.llm import bpe, decontaminate, htmltext, pii, quality, repair, secretscan, simhash, warc
+from spendweave.llm import bpe, decontaminate, htmltext, pii, quality, repair, secretscan, simhash, suffix, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +30,11 @@ def op3_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip(_table(spark, folder, "documents").select("doc_id", "text")).drop("text")
 
 
+def op4_suffix(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left of every document without repeated strings of 100 bytes."""
+    return suffix.digest(suffix.remove_repeats(_table(spark, folder, "documents")))
+
+
 def op5_warc(spark: SparkSession, folder: str) -> DataFrame:
     """Records of all pages, written to archives and read back."""
     return warc.read_archives(warc.write_archives(_table(spark, folder, "pages"))).drop("url")
@@ -68,6 +73,7 @@ QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_html": op2_html,
     "op3_bpe": op3_bpe,
+    "op4_suffix": op4_suffix,
     "op5_warc": op5_warc,
     "op6_repair": op6_repair,
     "op7_decontaminate": op7_decontaminate,
