@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 # Decimal places of each indicator (fixed values).
 KPI_PLACES = {"ctr": 4, "cpc": 2, "cpa": 2, "conversion_rate": 4, "cpm": 2, "roas": 2}
 
-_EXACT = "DECIMAL(20,2)"
+# as wide as sums of amounts, DECIMAL(22,2), and of counts, BIGINT; a quotient keeps 13 places or more
+_EXACT = "DECIMAL(22,2)"
 
 
 def _quotient(num: str, den: str) -> str:

@@ -1,26 +1,21 @@
 """Competition ranks over a whole table, without sorting it in one task.
 
-``rank() over (order by x)`` moves every row to one partition. That is the quickest
-plan for a table of proven small size, so it is used up to ``window_rows``. Beyond
-that the ranks are counted instead: values are reduced to (value, how often), cut
-into slices of about equal size, summed up within each slice, and shifted by what
-the slices before hold. Both ways give the same ranks; equal values share one, and
-NULL comes last.
+``rank() over (order by x)`` moves every row to one partition. Here ranks are counted instead:
+values of all rankings are reduced to (value, how often) in one pass over the rows, dealt out in
+ranges of their order, summed up within each range, and shifted by what the ranges before hold.
+Equal values share a rank, and NULL comes last. There is one plan for all sizes and all
+types that have an order; a small table makes one range.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spendweave.sources.store import materialise
 
-WINDOW_ROWS = 1_000_000
-ROWS_PER_SLICE = 1_000_000
-
 
 @dataclass(frozen=True)
 class Ranking:
@@ -31,71 +26,60 @@ class Ranking:
     descending: bool = False
 
 
-def with_global_ranks(
-    df: DataFrame,
-    rankings: list[Ranking],
-    window_rows: int = WINDOW_ROWS,
-    rows_per_slice: int = ROWS_PER_SLICE,
-) -> DataFrame:
+def with_global_ranks(df: DataFrame, rankings: list[Ranking]) -> DataFrame:
     """Add one rank column per entry of ``rankings``.
 
-    Runs ``df`` once and keeps it as a scratch table: its size decides on the plan,
-    and no rank has to compute it again.
+    Runs ``df`` once and keeps it as a scratch table, so that no rank has to compute it again.
     """
-    stored, rows = materialise(df, "ranked")
-    if rows <= window_rows:
-        return stored.withColumns({r.out: _windowed(r) for r in rankings})
-    slices = max(2, ceil(rows / rows_per_slice))
-    for ranking in rankings:
-        stored = _counted(stored, ranking, slices)
+    values = [f"_value{i}" for i in range(len(rankings))]
+    stored, _ = materialise(df.withColumns({v: r.value for v, r in zip(values, rankings)}), "ranked")
+    ranges = _ranges(stored, values, [r.descending for r in rankings])
+    for i, (value, ranking) in enumerate(zip(values, rankings)):
+        # the id of a grouping set has a bit for each column that it leaves out
+        own_set = 2 ** len(values) - 1 - 2 ** (len(values) - 1 - i)
+        ranks = _ranks(ranges.where(F.col("_set") == own_set), value, ranking)
+        # one match per row; AQE splits the partition of a value that many rows share
+        stored = stored.join(ranks, stored[value].eqNullSafe(ranks["_ranked_value"])).drop(value, "_ranked_value")
     return stored
 
 
-def _windowed(ranking: Ranking) -> Column:
-    order = ranking.value.desc_nulls_last() if ranking.descending else ranking.value.asc_nulls_last()
-    return F.rank().over(Window.orderBy(order)).cast("bigint")
+def _ordered(value: str, descending: bool) -> Column:
+    return F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_last()
+
 
+def _ranges(stored: DataFrame, values: list[str], descending: list[bool]) -> DataFrame:
+    """(set, value columns, n, range): distinct values of each ranking with their range in its order.
 
-def _counted(df: DataFrame, ranking: Ranking, slices: int) -> DataFrame:
-    keyed = df.withColumn("_value", -ranking.value if ranking.descending else ranking.value)
+    Stored, so that all that is built on range numbers agrees on them.
+    """
+    keys = [F.col(v) for v in values]
     # a value held by many rows becomes one row here, combined before the shuffle
-    counts = keyed.groupBy("_value").agg(F.count(F.lit(1)).alias("_n"))
-    sliced = counts.withColumn("_slice", _slice(counts, slices))
+    counts = stored.groupingSets([[k] for k in keys], *keys).agg(
+        F.grouping_id().alias("_set"), F.count(F.lit(1)).alias("_n")
+    )
+    order = [_ordered(v, d) for v, d in zip(values, descending)]
+    ranged = counts.repartitionByRange(F.col("_set"), *order).withColumn("_range", F.spark_partition_id())
+    return materialise(ranged, "ranges")[0]
+
 
-    # at most one row per slice, so one task and a broadcast are of fixed size
-    before_slice = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+def _ranks(ranges: DataFrame, value: str, ranking: Ranking) -> DataFrame:
+    # a row per range
+    before_range = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        sliced.groupBy("_slice")
+        ranges.groupBy("_range")
         .agg(F.sum("_n").alias("_total"))
-        .select("_slice", F.coalesce(F.sum("_total").over(before_slice), F.lit(0)).alias("_offset"))
+        .select("_range", F.coalesce(F.sum("_total").over(before_range), F.lit(0)).alias("_offset"))
     )
-    in_slice = (
-        Window.partitionBy("_slice")
-        .orderBy(F.col("_value").asc_nulls_last())
+    in_range = (
+        Window.partitionBy("_range")
+        .orderBy(_ordered(value, ranking.descending))
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    ranks = (
-        sliced.withColumn("_before", F.coalesce(F.sum("_n").over(in_slice), F.lit(0)))
-        .join(F.broadcast(offsets), "_slice")
+    return (
+        ranges.withColumn("_before", F.coalesce(F.sum("_n").over(in_range), F.lit(0)))
+        .join(offsets, "_range")
         .select(
-            F.col("_value").alias("_ranked_value"),
+            F.col(value).alias("_ranked_value"),
             (F.col("_offset") + F.col("_before") + 1).cast("bigint").alias(ranking.out),
         )
     )
-    # one match per row; AQE splits the partition of a value that many rows share
-    return keyed.join(ranks, keyed["_value"].eqNullSafe(ranks["_ranked_value"])).drop(
-        "_value", "_ranked_value"
-    )
-
-
-def _slice(counts: DataFrame, slices: int) -> Column:
-    """Number of the slice of ``_value``: never falls as the value rises, NULL last.
-
-    The cut points are approximate and only balance the work. They reach the plan as
-    literals, so every use of the slice number agrees whatever is recomputed.
-    """
-    steps = [i / slices for i in range(1, slices)]
-    cuts = sorted(set(counts.stat.approxQuantile("_value", steps, 0.25 / slices)))
-    value = F.col("_value").cast("double")
-    passed = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda cut: cut < value))
-    return F.when(value.isNull(), len(cuts) + 1).otherwise(passed)

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spendweave.functions.kpis import mart_kpis, mean, quotient, ratio, ratio_or_zero, roas
-from spendweave.operators.ranking import Ranking, WINDOW_ROWS, with_global_ranks
+from spendweave.operators.ranking import Ranking, with_global_ranks
 from spendweave.operators.windows import with_share, with_wow
 from spendweave.sources.store import materialise
 
@@ -139,7 +139,7 @@ def _campaign_columns(grouped: DataFrame) -> DataFrame:
     )
 
 
-def with_ranks(campaigns: DataFrame, window_rows: int = WINDOW_ROWS) -> DataFrame:
+def with_ranks(campaigns: DataFrame) -> DataFrame:
     """Ranks by spend, conversions and unrounded CPA over all campaigns.
 
     A campaign without conversions has no CPA and ranks last.
@@ -151,7 +151,6 @@ def with_ranks(campaigns: DataFrame, window_rows: int = WINDOW_ROWS) -> DataFram
             Ranking("conversions_rank", F.col("total_conversions"), descending=True),
             Ranking("cpa_rank", quotient("total_spend", "total_conversions")),
         ],
-        window_rows=window_rows,
     )
 
 

@@ -23,6 +23,7 @@ from spendweave.operators.selection import (
     is_empty,
 )
 from spendweave.operators.windows import normalise_to_max, percent_of_first, with_share
+from spendweave.plans import insights
 from spendweave.plans.marts import funnel_totals, kpi_totals, platform_totals
 from spendweave.sources.specs import GOOGLE, TIKTOK
 
@@ -198,7 +199,9 @@ def dashboard(unified: DataFrame, marts: dict[str, DataFrame], sel: Selection) -
     """All panels of a selection by name; none where the selection is empty.
 
     ``marts`` are the published ones (see ``publish_marts``), so a panel reads a few
-    rows and only the cards and platform totals scan facts, behind pushed filters.
+    rows and only the cards and platform totals scan facts, behind pushed filters; or
+    the views of the session (see ``register_views``). Findings and recommendations
+    are those of the selected platforms and campaigns.
     """
     filtered = filter_facts(unified, sel)
     if is_empty(filtered):
@@ -207,6 +210,7 @@ def dashboard(unified: DataFrame, marts: dict[str, DataFrame], sel: Selection) -
     plat_f = filter_platform(marts["platform_summary"], sel)
     weekly_f = filter_platform(marts["weekly_trends"], sel)
     camp_f = filter_campaigns(marts["campaign_performance"], sel)
+    findings = insights.executive_insights(plat_f, camp_f, weekly_f)
     return {
         "kpi_cards": kpi_cards(filtered),
         "daily_spend": panel_daily_spend(daily_f),
@@ -218,10 +222,12 @@ def dashboard(unified: DataFrame, marts: dict[str, DataFrame], sel: Selection) -
         "daily_cpa": panel_daily_cpa(daily_f),
         "cpm": panel_cpm(plat_f),
         "weekly_spend": panel_weekly_spend(weekly_f),
-        "funnel_stages": panel_funnel_stages(marts["video_funnel"], sel),
-        "quality_points": panel_quality_points(marts["quality_analysis"], sel),
+        "funnel_stages": panel_funnel_stages(marts["tiktok_video_funnel"], sel),
+        "quality_points": panel_quality_points(marts["google_quality_analysis"], sel),
         "campaign_table": panel_campaign_table(camp_f),
         "cpa_by_campaign": panel_cpa_by_campaign(camp_f),
         "ctr_cvr_points": panel_ctr_cvr_points(camp_f),
         "spend_conv_points": panel_spend_conv_points(camp_f),
+        "findings": insights.ordered_insights(findings),
+        "recommendations": insights.budget_recommendations(plat_f, camp_f).orderBy("rec_order"),
     }

@@ -48,8 +48,8 @@ def publish_marts(
     facts = publish(unified_ads(facebook, google, tiktok), f"{folder}/unified_ads", ["platform"])
     marts = marts_from_rollup(stored_rollup(facts))
     marts["campaign_performance"] = with_ranks(marts.pop("campaign_totals"))
-    marts["video_funnel"] = video_funnel(tiktok)
-    marts["quality_analysis"] = quality_analysis(google)
+    marts["tiktok_video_funnel"] = video_funnel(tiktok)
+    marts["google_quality_analysis"] = quality_analysis(google)
     published = {name: publish(df, f"{folder}/{name}") for name, df in marts.items()}
     return {"unified_ads": facts, **published}
 

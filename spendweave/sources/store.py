@@ -59,13 +59,15 @@ def read_raw(spark: SparkSession, path: str, spec: SourceSpec, multi_line: bool
     return cells.select(*[_typed(f) for f in spec.fields])
 
 
-def load_raw(spark: SparkSession, source: str, target: str, spec: SourceSpec) -> DataFrame:
+def load_raw(
+    spark: SparkSession, source: str, target: str, spec: SourceSpec, multi_line: bool = False
+) -> DataFrame:
     """Replace the raw table at ``target`` by the CSV files at ``source``.
 
     Every cell is checked, because every column is written. Loading twice gives the
-    same table.
+    same table. ``multi_line`` is as for ``read_raw``.
     """
-    return publish(read_raw(spark, source, spec), target)
+    return publish(read_raw(spark, source, spec, multi_line), target)
 
 
 def publish(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
@@ -120,7 +122,7 @@ def materialise(df: DataFrame, label: str) -> tuple[DataFrame, int]:
 
 
 def get_view(spark: SparkSession, name: str) -> DataFrame:
-    """A registered view with lower-case column names and ``date`` as a DATE."""
+    """A registered view with lower-case column names, and ``date`` and ``week_start`` as DATE."""
     df = spark.table(name)
     df = df.toDF(*[c.lower() for c in df.columns])
-    return df.withColumn("date", F.to_date("date")) if "date" in df.columns else df
+    return df.withColumns({c: F.to_date(c) for c in ("date", "week_start") if c in df.columns})

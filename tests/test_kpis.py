@@ -73,3 +73,11 @@ def test_number_texts_round_in_decimal(spark):
         text.fill("{a} of {b}'s!", {"a": "'x'", "b": "CAST(NULL AS STRING)"}),
     ).first()
     assert tuple(row) == ("$1,234.50", "71.6%", "-72%", "28,708,167", "4.9x", "x of n/a's!")
+
+
+def test_totals_beyond_a_quintillion(spark):
+    row = "12e17 AS clicks, 3e18 AS impressions, cast('99999999999999999999.99' AS decimal(22,2)) AS spend, 7 AS conversions"
+    df = spark.sql(f"SELECT cast(clicks AS bigint) clicks, cast(impressions AS bigint) impressions, spend, cast(conversions AS bigint) conversions FROM (SELECT {row})")
+    got = df.select(*[c.alias(n) for n, c in kpis.mart_kpis("impressions", "clicks", "spend", "conversions").items()]).first()
+    assert str(got.avg_ctr) == "0.4000" and str(got.avg_cpc) == "83.33"
+    assert str(got.avg_cpa) == "14285714285714285714.28"

@@ -302,8 +302,7 @@ def test_publish_and_views(spark, raw, facts, tmp_path):
     views = pipeline.register_views(*raw)
     assert set(out) == set(again) == {
         "unified_ads", "daily_platform_summary", "campaign_performance", "platform_summary", "weekly_trends",
-        "video_funnel", "quality_analysis",
+        "tiktok_video_funnel", "google_quality_analysis",
     }
-    same = {"tiktok_video_funnel": "video_funnel", "google_quality_analysis": "quality_analysis"}
     for name, df in views.items():
-        assert rows_of(spark.table(name)) == rows_of(again[same.get(name, name)], *df.columns), name
+        assert rows_of(spark.table(name)) == rows_of(again[name], *df.columns), name

@@ -6,6 +6,10 @@ through DOUBLE would miss ties.
 
 from __future__ import annotations
 
+import re
+
+from spendweave.plans import messages
+
 MEASURES = ("impressions", "clicks", "spend", "conversions")
 
 LANDING = """
@@ -238,9 +242,74 @@ def _loaded(platform: str, ids: tuple[str, str], spend: str, own: str) -> str:
     )
 
 
+def money(x: str) -> str:
+    return f"'$' || format('{{:,.2f}}', CAST({x} AS DOUBLE))"
+
+
+def whole(x: str) -> str:
+    return f"format('{{:,}}', CAST({x} AS BIGINT))"
+
+
+def percent(x: str, places: int) -> str:
+    """Of a fraction in ten-thousandths, rounded half-up in whole numbers."""
+    unit = 10 ** (2 - places)
+    units = f"((ABS(CAST(ROUND(({x}) * 10000) AS BIGINT)) + {unit // 2}) // {unit})"
+    sign = f"CASE WHEN {x} < 0 AND {units} > 0 THEN '-' ELSE '' END"
+    digits = f"CAST({units} // {10**places} AS VARCHAR)"
+    if places:
+        digits += f" || '.' || lpad(CAST({units} % {10**places} AS VARCHAR), {places}, '0')"
+    return f"{sign} || {digits} || '%'"
+
+
+def worded(template: str, fields: dict[str, str]) -> str:
+    """A sentence with its gaps filled."""
+    parts = re.split(r"\{(\w+)\}", template)
+    shown = ["'" + t.replace("'", "''") + "'" if i % 2 == 0 else f"COALESCE({fields[t]}, 'n/a')" for i, t in enumerate(parts)]
+    return " || ".join(shown)
+
+
+def _gaps(platform: str, campaign: str = "") -> dict[str, str]:
+    """Text of the columns of a platform or campaign row."""
+    row = f"{campaign or platform}."
+    return {
+        "platform": f"{row}platform", "campaign": f"{row}campaign_name", "cpa": money(f"{row}avg_cpa"),
+        "spend": money(f"{row}total_spend"), "conversions": whole(f"{row}total_conversions"),
+        "ctr": percent(f"{row}avg_ctr", 2), "conversion_rate": percent(f"{row}avg_conversion_rate", 2),
+        "cpc": money(f"{row}avg_cpc"), "cpm": money(f"{row}avg_cpm"), "impressions": whole(f"{row}total_impressions"),
+    }
+
+
+def texts_of(rule: int) -> dict[str, tuple[tuple[str, str, str], dict[str, str]]]:
+    share = {
+        "platform": "platform", "spend_share": percent("spend_share", 0), "conversion_share": percent("conversion_share", 0),
+        "gap": percent("(spend_share - conversion_share)", 1),
+    }
+    times = half_up(_tenths("w.avg_cpa", 100), _tenths("b.avg_cpa", 100), 1)
+    return {
+        1: {"": (messages.LOWEST_CPA, _gaps("b") | {
+            "gap": money("(w.avg_cpa - b.avg_cpa)"), "other": "w.platform", "other_cpa": money("w.avg_cpa")})},
+        2: {f"{SHARE_UNITS[0]} * 10 < {SHARE_UNITS[1]} * 8": (messages.UNDER_DELIVERY, share), "": (messages.OVER_DELIVERY, share)},
+        3: {"": (messages.BEST_CAMPAIGN, _gaps("", "b"))},
+        4: {"": (messages.WORST_CAMPAIGN, _gaps("", "w") | {"multiple": f"format('{{:.1f}}x', {times})"})},
+        5: {"": (messages.HIGHEST_CTR, _gaps("p"))},
+        6: {"": (messages.MOST_IMPRESSIONS, _gaps("p"))},
+        7: {"": (messages.WEEKLY_TREND, {
+            "platform": "platform", "direction": "CASE WHEN spend_wow_change > 0 THEN 'increased' ELSE 'decreased' END",
+            "change": percent("ABS(spend_wow_change)", 1), "spend": money("spend"),
+            "conversions_change": percent("conversions_wow_change", 1)})},
+    }[rule]
+
+
+def _cases(rule: int, which: int) -> str:
+    texts = {condition: worded(message[which], gaps) for condition, (message, gaps) in texts_of(rule).items()}
+    last = texts.pop("")
+    return "CASE " + " ".join(f"WHEN {c} THEN {t}" for c, t in texts.items()) + f" ELSE {last} END" if texts else last
+
+
 def finding(rule: int, category: str, subject: str, severity: str, value: str, benchmark: str, change: str) -> str:
     return (
         f"SELECT CAST({rule} AS BIGINT) AS rule_no, '{category}' AS category, {subject} AS subject, "
+        f"{_cases(rule, 1)} AS title, {_cases(rule, 2)} AS detail, "
         f"{severity} AS severity, CAST({value} AS DOUBLE) AS value, CAST({benchmark} AS DOUBLE) AS benchmark, "
         f"CAST({change} AS DOUBLE) AS change"
     )
@@ -276,9 +345,9 @@ FINDINGS = {
                half_up(_tenths("w.avg_cpa", 100), _tenths("b.avg_cpa", 100), 1))
     + f" FROM {BEST_CAMPAIGN} b, {WORST_CAMPAIGN} w",
     5: finding(5, "Engagement", "platform", "'positive'", "avg_ctr", "NULL", "NULL")
-    + f" FROM {_first('platforms', 'avg_ctr DESC, total_spend DESC, platform')}",
+    + f" FROM {_first('platforms', 'avg_ctr DESC, total_spend DESC, platform')} p",
     6: finding(6, "Reach", "platform", "'neutral'", "total_impressions", "NULL", "NULL")
-    + f" FROM {_first('platforms', 'total_impressions DESC, total_spend DESC, platform')}",
+    + f" FROM {_first('platforms', 'total_impressions DESC, total_spend DESC, platform')} p",
     7: finding(7, "Trend", "platform",
                "CASE WHEN ABS(spend_wow_change) < 0.15 THEN 'neutral' ELSE 'warning' END",
                "spend", "NULL", "spend_wow_change")
@@ -286,38 +355,65 @@ FINDINGS = {
 }
 
 
+def _union(rules) -> str:
+    return "\nUNION ALL\n".join(f"SELECT * FROM ({FINDINGS[r]}) r{r}" for r in rules)
+
+
 def findings(*rules: int) -> str:
-    union = "\nUNION ALL\n".join(f"SELECT * FROM ({FINDINGS[r]}) r{r}" for r in rules)
-    return with_(union, CAMPAIGNS, PLATFORMS, WEEKLY)
+    return with_(_union(rules), CAMPAIGNS, PLATFORMS, WEEKLY)
 
 
-def _recommendation(order: int, kind: str, subject: str, value: str, source: str) -> str:
+def _recommendation(order: int, kind: str, subject: str, text: str, value: str, source: str) -> str:
     return (
-        f"SELECT CAST({order} AS BIGINT) AS rec_order, '{kind}' AS kind, {subject} AS subject, "
+        f"SELECT CAST({order} AS BIGINT) AS rec_order, '{kind}' AS kind, {subject} AS subject, {text} AS text, "
         f"CAST({value} AS DOUBLE) AS value FROM {source}"
     )
 
 
+SHARE_OF_ALL = half_up("b.total_spend", "(SELECT SUM(total_spend) FROM platforms)", 4, 100)
 RECOMMENDATIONS = "\nUNION ALL\n".join(
     [
         _recommendation(
-            1, "raise_platform", "platform",
-            half_up("total_spend", "(SELECT SUM(total_spend) FROM platforms)", 4, 100), f"{BEST_PLATFORM} b",
+            1, "raise_platform", "b.platform",
+            worded(messages.RAISE_PLATFORM, _gaps("b") | {"share": percent(SHARE_OF_ALL, 0), "other": "w.platform"}),
+            SHARE_OF_ALL, f"{BEST_PLATFORM} b, {WORST_PLATFORM} w",
         ),
         _recommendation(
-            2, "scale_campaign", "campaign_name", "avg_cpa",
+            2, "scale_campaign", "campaign_name", worded(messages.SCALE_CAMPAIGN, _gaps("", "c")), "avg_cpa",
             f"{BEST_CAMPAIGN} c WHERE (SELECT COUNT(*) FROM campaigns) > 1",
         ),
         _recommendation(
-            3, "optimise_campaign", "campaign_name", "avg_cpa",
+            3, "optimise_campaign", "campaign_name", worded(messages.OPTIMISE_CAMPAIGN, _gaps("", "c")), "avg_cpa",
             f"{WORST_CAMPAIGN} c WHERE (SELECT COUNT(*) FROM campaigns) > 1",
         ),
         _recommendation(
-            4, "keep_diversification", "'all'", "COUNT(*)", "platforms HAVING COUNT(*) = 3"
+            4, "keep_diversification", "'all'", worded(messages.KEEP_DIVERSIFICATION, {}), "COUNT(*)",
+            "platforms HAVING COUNT(*) = 3",
         ),
     ]
 )
 
+
+def selected(query: str) -> str:
+    """On marts that the chosen selection filters: each keeps its name, so the query stays as it is."""
+    narrowed = {
+        "campaigns": f"SELECT * FROM all_campaigns WHERE {CHOSEN_PLATFORMS} AND {CHOSEN_CAMPAIGNS}",
+        "platforms": f"SELECT * FROM all_platforms WHERE {CHOSEN_PLATFORMS}",
+        "weekly": f"SELECT * FROM all_weekly WHERE {CHOSEN_PLATFORMS}",
+    }
+    whole_marts = with_("SELECT 1", CAMPAIGNS, PLATFORMS, WEEKLY)
+    for name in narrowed:
+        whole_marts = re.sub(rf"\b{name} AS \(", f"all_{name} AS (", whole_marts)
+    head = whole_marts[: whole_marts.rindex("SELECT 1")].rstrip()
+    return head + ", " + ", ".join(f"{n} AS ({q})" for n, q in narrowed.items()) + f"\n{query}"
+
+
+def ordered(source: str, order: str, *marts: str) -> str:
+    """Keys of a mart with their place in its output order."""
+    keys = ", ".join(part.split()[0] for part in order.split(", "))
+    return with_(f"SELECT {keys}, ROW_NUMBER() OVER (ORDER BY {order}) AS position FROM {source}", *marts)
+
+
 RADAR_VALUES = {
     "CTR": "COALESCE(avg_ctr, 0)",
     "Conv Rate": "COALESCE(avg_conversion_rate, 0)",
@@ -354,6 +450,23 @@ CAMPAIGN_TABLE = (
 )
 
 
+def shown(table: str) -> str:
+    """The columns of a table as the dashboard prints them."""
+    out = []
+    for part in table.split(", "):
+        column, name = part.split(" AS ")
+        if "($)" in name:
+            column = money(column)
+        elif column.endswith("_share"):
+            column = percent(column, 1)
+        elif column in ("avg_ctr", "avg_conversion_rate"):
+            column = percent(column, 2)
+        elif column not in ("platform", "campaign_name", "campaigns"):
+            column = whole(column)
+        out.append(f"{column} AS {name}")
+    return ", ".join(out)
+
+
 def counted(tables: dict[str, str], name: str = "table_name") -> str:
     return "\nUNION ALL\n".join(
         f"SELECT '{label}' AS {name}, COUNT(*) AS row_count FROM {source}" for label, source in tables.items()
@@ -363,12 +476,14 @@ def counted(tables: dict[str, str], name: str = "table_name") -> str:
 FEED_FILTERS = {p: f"facts WHERE platform = '{p}'" for p in ("Facebook", "Google", "TikTok")}
 TOTALS_ONLY = f"SELECT * EXCLUDE ({RANKS}) FROM campaigns"
 
-ORACLES: dict[str, str] = {
-    "load_raw_facebook": _loaded(
+FACEBOOK_LOADED = _loaded(
         "Facebook", ("ad_set_id", "ad_set_name"), "spend",
         f"{big('video_views', 'video_views')}, {dbl('engagement_rate', 'engagement_rate')}, "
         f"{big('reach', 'reach')}, {dbl('frequency', 'frequency')}",
-    ),
+    )
+
+ORACLES: dict[str, str] = {
+    "load_raw_facebook": FACEBOOK_LOADED,
     "load_raw_google": _loaded(
         "Google", ("ad_group_id", "ad_group_name"), "cost",
         f"{dbl('conversion_value', 'conversion_value')}, {dbl('0', 'ctr')}, {dbl('0', 'avg_cpc')}, "
@@ -396,8 +511,8 @@ ORACLES: dict[str, str] = {
                 "campaign_performance": "campaigns",
                 "platform_summary": "platforms",
                 "weekly_trends": "weekly",
-                "video_funnel": "funnel",
-                "quality_analysis": "quality",
+                "tiktok_video_funnel": "funnel",
+                "google_quality_analysis": "quality",
             }
         ),
         DAILY, CAMPAIGNS, PLATFORMS, WEEKLY, FUNNEL, QUALITY,
@@ -477,6 +592,8 @@ ORACLES: dict[str, str] = {
     ),
     "panel_daily_conversions": with_("SELECT date, platform, total_conversions FROM daily", DAILY),
     "panel_platform_table": with_(f"SELECT {PLATFORM_TABLE} FROM platforms", PLATFORMS),
+    "panel_platform_table_text": with_(f"SELECT {shown(PLATFORM_TABLE)} FROM platforms", PLATFORMS),
+    "panel_campaign_table_text": with_(f"SELECT {shown(CAMPAIGN_TABLE)} FROM campaigns", CAMPAIGNS),
     "panel_radar": with_(RADAR, PLATFORMS),
     "panel_daily_cpa": with_("SELECT date, platform, avg_cpa FROM daily", DAILY),
     "panel_cpm": with_("SELECT platform, avg_cpm FROM platforms", PLATFORMS),
@@ -499,6 +616,47 @@ ORACLES: dict[str, str] = {
     "insight_ctr_leader": findings(5),
     "insight_volume_leader": findings(6),
     "insight_trend": findings(7),
-    "executive_insights": findings(1, 2, 3, 4, 5, 6, 7),
-    "recommendations": with_(RECOMMENDATIONS, CAMPAIGNS, PLATFORMS),
+    "executive_insights": with_(
+        "SELECT *, ROW_NUMBER() OVER (ORDER BY rule_no, CASE WHEN rule_no = 2 THEN -benchmark END, subject) AS position "
+        f"FROM ({_union(range(1, 8))}) every",
+        CAMPAIGNS, PLATFORMS, WEEKLY,
+    ),
+    "recommendations": with_(
+        f"SELECT *, ROW_NUMBER() OVER (ORDER BY rec_order) AS position FROM ({RECOMMENDATIONS}) every", CAMPAIGNS, PLATFORMS
+    ),
+    "selected_insights": selected(_union(range(1, 8))),
+    "selected_recommendations": selected(RECOMMENDATIONS),
+    "published_daily": with_("SELECT * FROM daily", DAILY),
+    "published_campaigns": with_("SELECT * FROM campaigns", CAMPAIGNS),
+    "published_platforms": with_("SELECT * FROM platforms", PLATFORMS),
+    "published_weekly": with_("SELECT * FROM weekly", WEEKLY),
+    "published_funnel": with_("SELECT * FROM funnel", FUNNEL),
+    "published_quality": with_("SELECT * FROM quality", QUALITY),
+    "reload_twice": FACEBOOK_LOADED,
+    "load_dialect": f"""
+SELECT * REPLACE (campaign_name || chr(10) || '"second", line' AS campaign_name,
+                  CASE WHEN clicks % 4 = 3 THEN video_views END AS video_views) FROM ({FACEBOOK_LOADED}) loaded""",
+    "bad_row_report": with_(
+        "SELECT 'FACEBOOK_ADS' AS table_name, CAST(0 AS BIGINT) AS stopped UNION ALL "
+        "SELECT 'GOOGLE_ADS', CAST(COUNT(*) > 0 AS BIGINT) FROM facts WHERE platform = 'Google' AND clicks = 0 UNION ALL "
+        "SELECT 'TIKTOK_ADS', 0"
+    ),
+    "view_read": with_("SELECT * FROM weekly", WEEKLY),
+    "view_read_daily": with_("SELECT * FROM daily", DAILY),
+    "empty_selection": with_(
+        f"SELECT 'chosen' AS selection, CAST(COUNT(*) = 0 AS BIGINT) AS is_empty, COUNT(*) AS row_count FROM facts WHERE {CHOSEN} UNION ALL "
+        "SELECT 'nobody', CAST(COUNT(*) = 0 AS BIGINT), COUNT(*) FROM facts WHERE FALSE UNION ALL "
+        "SELECT 'everything', CAST(COUNT(*) = 0 AS BIGINT), COUNT(*) FROM facts"
+    ),
+    "ordered_daily": ordered("daily", "date, platform", DAILY),
+    "ordered_campaigns": ordered("campaigns", "total_spend DESC, platform, campaign_id, campaign_name", CAMPAIGNS),
+    "ordered_platforms": ordered("platforms", "total_spend DESC, platform", PLATFORMS),
+    "ordered_weekly": ordered("weekly", "week_start, platform", WEEKLY),
+    "ordered_funnel": ordered("funnel", "total_views DESC NULLS LAST, campaign_name", FUNNEL),
+    "ordered_quality": ordered("quality", "avg_quality_score DESC NULLS LAST, campaign_name, ad_group_name", QUALITY),
+    "kpi_cards_text": f"""
+SELECT {money('total_spend')} AS total_spend, {whole('total_conversions')} AS total_conversions, {money('avg_cpa')} AS avg_cpa,
+  {percent('avg_ctr', 2)} AS avg_ctr, {whole('total_impressions')} AS total_impressions, {whole('total_clicks')} AS total_clicks,
+  {money('avg_cpc')} AS avg_cpc, {percent('avg_conversion_rate', 2)} AS avg_conversion_rate
+FROM ({kpi_totals(f"WHERE {CHOSEN}")}) cards""",
 }

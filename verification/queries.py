@@ -10,7 +10,8 @@ from collections.abc import Callable
 from datetime import date
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,7 +22,7 @@ from spendweave.operators.windows import latest_week
 from spendweave.plans import audit, insights, marts, panels, pipeline
 from spendweave.sources.landing import landing_facts, raw_feeds
 from spendweave.sources.specs import FACEBOOK, GOOGLE, SPECS, TIKTOK
-from spendweave.sources.store import load_raw, scratch_folder
+from spendweave.sources.store import get_view, load_raw, scratch_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,7 +33,7 @@ CHOSEN = sel.Selection(
     platforms=["Facebook", "Google"],
     campaigns=["C_Brand#2", "C_Brand#7", "C_Brand#11", "C_Brand#17", "C_Brand#23"],
 )
-EVIDENCE = ["rule_no", "category", "subject", "severity", "value", "benchmark", "change"]
+EVIDENCE = ["rule_no", "category", "subject", "title", "detail", "severity", "value", "benchmark", "change"]
 
 
 def plain(df: DataFrame) -> DataFrame:
@@ -78,14 +79,63 @@ def _platform_findings(u: DataFrame) -> DataFrame:
     return insights.platform_findings(marts.platform_summary(u))
 
 
+def _numbered(ordered_rows: DataFrame, *columns: str) -> DataFrame:
+    """Rows of a sorted frame with their position in it, which the ids of its partitions follow."""
+    placed = ordered_rows.withColumn("_id", F.monotonically_increasing_id())
+    position = F.row_number().over(Window.orderBy("_id")).cast("bigint").alias("position")
+    return placed.select(*columns, position)
+
+
 def _all_findings(u: DataFrame) -> DataFrame:
-    return insights.executive_insights(*marts.insight_marts(u)).select(*EVIDENCE)
+    findings = insights.executive_insights(*marts.insight_marts(u))
+    return _numbered(insights.ordered_insights(findings), *EVIDENCE)
 
 
 def _recommendations(u: DataFrame) -> DataFrame:
     platforms, campaigns, _ = marts.insight_marts(u)
-    recs = insights.budget_recommendations(platforms, campaigns)
-    return recs.select("rec_order", "kind", "subject", "value")
+    recs = insights.budget_recommendations(platforms, campaigns).orderBy("rec_order")
+    return _numbered(recs, "rec_order", "kind", "subject", "text", "value")
+
+
+def _selected(u: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The marts that the dashboard's findings rest on, as a selection filters them."""
+    platforms, campaigns, weekly = marts.insight_marts(u)
+    return (
+        sel.filter_platform(platforms, CHOSEN),
+        sel.filter_campaigns(campaigns, CHOSEN),
+        sel.filter_platform(weekly, CHOSEN),
+    )
+
+
+def _view_read(spark: SparkSession, folder: str) -> DataFrame:
+    """The weekly view as a warehouse shows it: upper-case names, dates as texts and timestamps."""
+    weekly = marts.weekly_trends(landing_facts(spark, folder, campaigns=False))
+    stored = weekly.withColumn("week_start", F.col("week_start").cast("timestamp"))
+    stored.toDF(*[c.upper() for c in stored.columns]).createOrReplaceTempView("weekly_as_stored")
+    return plain(get_view(spark, "weekly_as_stored"))
+
+
+def _view_read_daily(spark: SparkSession, folder: str) -> DataFrame:
+    daily = marts.daily_platform_summary(landing_facts(spark, folder, campaigns=False))
+    stored = daily.withColumn("date", F.col("date").cast("string"))
+    stored.toDF(*[c.upper() for c in stored.columns]).createOrReplaceTempView("daily_as_stored")
+    return plain(get_view(spark, "daily_as_stored"))
+
+
+def _empty_selection(u: DataFrame) -> DataFrame:
+    """Whether selections leave nothing, and how much the last one leaves."""
+    nobody = sel.Selection(campaigns=[])
+    shown = [("chosen", CHOSEN), ("nobody", nobody), ("everything", EVERYTHING)]
+    rows = [
+        (name, int(sel.is_empty(sel.filter_facts(u, choice))), sel.filter_facts(u, choice).count()) for name, choice in shown
+    ]
+    return u.sparkSession.createDataFrame(rows, "selection string, is_empty bigint, row_count bigint")
+
+
+def _ordered(mart: str, build: Callable[[DataFrame], DataFrame], on) -> Query:
+    """The mart's keys with their place in its output order."""
+    keys = [c for c, _ in pick.MART_ORDER[mart]]
+    return on(lambda df: _numbered(pick.ordered(build(df), mart), *keys))
 
 
 def _view_counts(spark: SparkSession, folder: str) -> DataFrame:
@@ -112,6 +162,54 @@ def _best_and_worst(u: DataFrame) -> DataFrame:
     return best.unionByName(pick.worst(totals, "avg_cpa", ties).withColumn("pick", F.lit("worst")))
 
 
+def _reload_twice(spark: SparkSession, folder: str) -> DataFrame:
+    """A feed loaded over itself."""
+    base = f"{scratch_folder(spark)}/reload-{uuid4().hex}"
+    raw_feeds(spark, folder)[0].write.option("header", True).csv(f"{base}/csv")
+    load_raw(spark, f"{base}/csv", f"{base}/table", SPECS[0])
+    return plain(load_raw(spark, f"{base}/csv", f"{base}/table", SPECS[0]))
+
+
+def _load_dialect(spark: SparkSession, folder: str) -> DataFrame:
+    """A feed with every cell quoted and padded, NULL tokens, and line breaks inside names."""
+    base = f"{scratch_folder(spark)}/dialect-{uuid4().hex}"
+    raw = raw_feeds(spark, folder)[0]
+    cells = raw.select(*[F.col(c).cast("string").alias(c) for c in raw.columns]).withColumns(
+        {
+            "campaign_name": F.concat("campaign_name", F.lit('\n"second", line')),
+            "video_views": F.expr("CASE pmod(clicks, 4) WHEN 0 THEN 'NULL' WHEN 1 THEN 'null' WHEN 2 THEN '' ELSE concat('  ', video_views, ' ') END"),
+        }
+    )
+    cells.write.options(header=True, quoteAll=True, escape='"').csv(f"{base}/csv")
+    return plain(load_raw(spark, f"{base}/csv", f"{base}/table", SPECS[0], multi_line=True))
+
+
+def _bad_row_report(spark: SparkSession, folder: str) -> DataFrame:
+    """Per feed, whether its load stopped; the last row of the Google feed has a word for its clicks."""
+    base, out = f"{scratch_folder(spark)}/bad-{uuid4().hex}", []
+    for spec, raw in zip(SPECS, raw_feeds(spark, folder)):
+        cells = raw.select(*[F.col(c).cast("string").alias(c) for c in raw.columns])
+        if spec is GOOGLE:
+            cells = cells.withColumn("clicks", F.when(F.col("clicks") == "0", "none").otherwise(F.col("clicks")))
+        cells.write.option("header", True).csv(f"{base}/{spec.table}")
+        try:
+            load_raw(spark, f"{base}/{spec.table}", f"{base}/{spec.table}-table", spec)
+            out.append((spec.table, 0))
+        except PySparkException:
+            out.append((spec.table, 1))
+    return spark.createDataFrame(out, "table_name string, stopped bigint")
+
+
+def _published(name: str) -> Query:
+    """What a mart's table holds after publishing."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        target = f"{scratch_folder(spark)}/marts-{uuid4().hex}"
+        return plain(pipeline.publish_marts(*raw_feeds(spark, folder), target)[name])
+
+    return query
+
+
 def _csv_load(index: int) -> Query:
     """Write a feed as CSV files, load them into a raw table, and read that."""
 
@@ -142,12 +240,31 @@ QUERIES: dict[str, Query] = {
     "published_row_counts": _on_feeds(_published_counts),
     "raw_row_counts": lambda spark, folder: plain(_raw_counts(*raw_feeds(spark, folder, campaigns=False))),
     "view_row_counts": lambda spark, folder: plain(_view_counts(spark, folder)),
+    "published_daily": _published("daily_platform_summary"),
+    "published_campaigns": _published("campaign_performance"),
+    "published_platforms": _published("platform_summary"),
+    "published_weekly": _published("weekly_trends"),
+    "published_funnel": _published("tiktok_video_funnel"),
+    "published_quality": _published("google_quality_analysis"),
+    "reload_twice": _reload_twice,
+    "load_dialect": _load_dialect,
+    "bad_row_report": _bad_row_report,
+    "view_read": _view_read,
+    "view_read_daily": _view_read_daily,
+    "empty_selection": _on_facts(_empty_selection),
+    # output order
+    "ordered_daily": _ordered("daily_platform_summary", _daily, _on_delivery),
+    "ordered_campaigns": _ordered("campaign_performance", marts.campaign_totals, _on_facts),
+    "ordered_platforms": _ordered("platform_summary", marts.platform_summary, _on_facts),
+    "ordered_weekly": _ordered("weekly_trends", marts.weekly_trends, _on_delivery),
+    "ordered_funnel": _ordered("video_funnel", marts.video_funnel, lambda b: _on_feed(2, b)),
+    "ordered_quality": _ordered("quality_analysis", marts.quality_analysis, lambda b: _on_feed(1, b)),
     # marts
     "daily_platform_summary": _on_delivery(_daily),
     "campaign_totals": _on_facts(marts.campaign_totals),
     "campaign_performance": _on_facts(marts.campaign_performance),
     "campaign_ranks_counted": _on_facts(
-        lambda u: marts.with_ranks(marts.campaign_totals(u), window_rows=0).select(
+        lambda u: marts.with_ranks(marts.campaign_totals(u)).select(
             *marts.CAMPAIGN_KEYS, "spend_rank", "conversions_rank", "cpa_rank"
         )
     ),
@@ -175,6 +292,13 @@ QUERIES: dict[str, Query] = {
     ),
     # panels
     "kpi_cards": _on_facts(lambda u: panels.kpi_cards(sel.filter_facts(u, CHOSEN))),
+    "kpi_cards_text": _on_facts(lambda u: panels.kpi_cards(sel.filter_facts(u, CHOSEN), as_text=True)),
+    "panel_platform_table_text": _on_facts(
+        lambda u: panels.panel_platform_table(marts.platform_summary(u), as_text=True)
+    ),
+    "panel_campaign_table_text": _on_facts(
+        lambda u: panels.panel_campaign_table(marts.campaign_performance(u), as_text=True)
+    ),
     "panel_daily_spend": _on_delivery(lambda u: panels.panel_daily_spend(_daily(u))),
     "panel_spend_share": _on_delivery(panels.panel_spend_share),
     "panel_conversions": _on_delivery(panels.panel_conversions),
@@ -203,6 +327,10 @@ QUERIES: dict[str, Query] = {
     "insight_ctr_leader": _findings([5], _platform_findings),
     "insight_volume_leader": _findings([6], _platform_findings),
     "insight_trend": _findings([7], lambda u: insights.trend_findings(marts.weekly_trends(u))),
+    "selected_insights": _on_facts(lambda u: insights.executive_insights(*_selected(u)).select(*EVIDENCE)),
+    "selected_recommendations": _on_facts(
+        lambda u: insights.budget_recommendations(*_selected(u)[:2]).select("rec_order", "kind", "subject", "text", "value")
+    ),
     "executive_insights": _on_facts(_all_findings),
     "recommendations": _on_facts(_recommendations),
 }
