@@ -14,4 +14,129 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM r
 """
 
-ORACLES: dict[str, str] = {"op5_warc": OP5}
+_WORD = r"[^\x20\x09-\x0D]"
+
+OP8 = rf"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{_WORD}+') AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '{_WORD}')) AS lines
+  FROM documents),
+windows AS (
+  SELECT doc_id, i, w[i : i + 7] AS win FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM d)),
+again AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, win) AS n FROM windows) WHERE n > 1),
+covered AS (
+  SELECT doc_id, sum(n) AS n FROM (
+    SELECT doc_id, least(8, coalesce(lead(i) OVER (PARTITION BY doc_id ORDER BY i) - i, 8)) AS n FROM again)
+  GROUP BY doc_id),
+m AS (
+  SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words,
+    CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+    CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+    CAST(coalesce(covered.n, 0) AS BIGINT) AS n_repeat_words, len(lines) AS n_lines,
+    length(regexp_replace(t, '\P{{Lu}}', '', 'g')) AS capitals, length(regexp_replace(t, '\P{{L}}', '', 'g')) AS letters
+  FROM d LEFT JOIN covered ON covered.doc_id = d.doc_id)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+  NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words OR 10 * n_symbols > n_words OR 3 * n_dup_lines > n_lines
+    OR 10 * capitals > 4 * word_chars OR word_chars < 2 * n_words OR word_chars > 14 * n_words
+    OR 2 * letters < word_chars) AS kept
+FROM m
+"""
+
+
+def _spans(kinds: list[tuple[str, str, str]], base: int) -> str:
+    """Spans of (kind, pattern, condition on hit, before and after) per document; the first ``base`` kinds are counted."""
+    found = "\nUNION ALL\n".join(
+        f"SELECT doc_id, '{kind}' AS kind, {i} AS no, t, regexp_extract_all(t, '{pattern}') AS hits, "
+        f"string_split_regex(t, '{pattern}') AS gaps FROM d"
+        for i, (kind, pattern, _) in enumerate(kinds)
+    )
+    keep = " ".join(f"WHEN '{kind}' THEN {condition}" for kind, _, condition in kinds)
+    counts = ", ".join(f"CAST(count(*) FILTER (kind = '{kind}') AS BIGINT) AS n_{kind}" for kind, _, _ in kinds[:base])
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+m AS ({found}),
+s AS (
+  SELECT doc_id, kind, no, t, unnest(hits) AS hit, unnest(gaps[1 : len(hits)]) AS gap, unnest(range(len(hits))) AS i
+  FROM m WHERE len(hits) > 0),
+p AS (
+  SELECT *, CAST(sum(length(gap) + length(hit)) OVER (PARTITION BY doc_id, kind ORDER BY i) AS BIGINT) AS stop FROM s),
+c AS (
+  SELECT *, stop - length(hit) AS start, regexp_replace(hit, '[^0-9]', '', 'g') AS digits,
+    lower(t[greatest(stop - length(hit) - 39, 1) : stop - length(hit)] || ' ' || t[stop + 1 : stop + 40]) AS near FROM p),
+f AS (SELECT doc_id, kind, no, start, stop FROM c WHERE CASE kind {keep} END)
+SELECT d.doc_id, {counts},
+  sha256(coalesce(string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, no) FILTER (no < {base}), '')) AS base_sha256,
+  coalesce(string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, no), '') AS spans
+FROM d LEFT JOIN f ON f.doc_id = d.doc_id GROUP BY d.doc_id
+"""
+
+
+_ASSIGN = r"(?i:(password|passwd|secret|token|api_?key))[\"\x27]?\x20*[:=]\x20*[\"\x27]?([A-Za-z0-9+/_.=-]+)".replace('\\"', '"')
+OP9 = _spans(
+    [
+        ("assign", _ASSIGN, f"length(regexp_extract(hit, '{_ASSIGN}', 2)) >= 6"),
+        ("access", "AKIA[A-Z0-9]+", "length(hit) >= 20"),
+        ("hex", "[0-9a-f]+", "length(hit) >= 24"),
+        ("pem", "-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----", "TRUE"),
+        ("prefixed", "(?:gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,})", "TRUE"),
+    ],
+    3,
+)
+
+_LUHN = """list_sum(list_transform(range(length(digits)), lambda k: CASE WHEN k % 2 = 0
+  THEN CAST(digits[length(digits) - k] AS INT)
+  ELSE 2 * CAST(digits[length(digits) - k] AS INT) - 9 * CAST(digits[length(digits) - k] > '4' AS INT) END)) % 10 = 0"""
+_MOD_97 = """list_reduce(list_prepend(0, list_transform(string_split(hit[5:] || hit[1:4], ''),
+  lambda x: CASE WHEN x BETWEEN '0' AND '9' THEN CAST(x AS INT) ELSE ascii(x) - 55 END)),
+  lambda r, v: (r * CASE WHEN v > 9 THEN 100 ELSE 10 END + v) % 97) = 1"""
+OP10 = _spans(
+    [
+        ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "TRUE"),
+        (
+            "ip",
+            r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)",
+            "list_max(list_transform(string_split(hit, '.'), lambda x: coalesce(try_cast(x AS BIGINT), 256))) <= 255",
+        ),
+        ("card", r"[0-9](?:[\x20-]?[0-9])+", f"length(digits) BETWEEN 14 AND 19 AND {_LUHN}"),
+        ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", "length(digits) BETWEEN 10 AND 15"),
+        ("account", r"\b[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}\b", _MOD_97),
+        (
+            "national_id",
+            r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b",
+            r"regexp_matches(near, '\b(ssn|social|security|identity)\b')",
+        ),
+    ],
+    4,
+)
+
+# Every string of 100 bytes by place, as hexadecimal; those not first in the order of places cover what goes.
+OP4 = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, a, md5(h[2 * a + 1 : 2 * a + 200]) AS s
+  FROM (SELECT doc_id, h, unnest(range(greatest(length(h) // 2 - 99, 0))) AS a FROM d)),
+r AS (SELECT doc_id, a FROM (SELECT doc_id, a, row_number() OVER (PARTITION BY s ORDER BY doc_id, a) AS n FROM w) WHERE n > 1),
+e AS (SELECT doc_id, a, lag(a) OVER (PARTITION BY doc_id ORDER BY a) AS before FROM r),
+g AS (SELECT doc_id, a, sum(CASE WHEN a <= before + 100 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY a) AS no FROM e),
+spans AS (SELECT doc_id, no, min(a) AS lo, max(a) + 100 AS hi FROM g GROUP BY doc_id, no),
+cut AS (
+  SELECT doc_id, lo, hi, coalesce(lag(hi) OVER (PARTITION BY doc_id ORDER BY lo), 0) AS from_,
+    row_number() OVER (PARTITION BY doc_id ORDER BY lo DESC) = 1 AS last FROM spans),
+kept AS (
+  SELECT c.doc_id, string_agg(h[2 * from_ + 1 : 2 * lo], '' ORDER BY lo) || max(CASE WHEN last THEN h[2 * hi + 1 :] ELSE '' END) AS k,
+    sum(hi - lo) AS n_removed, count(*) AS n_spans
+  FROM cut c JOIN d ON d.doc_id = c.doc_id GROUP BY c.doc_id)
+SELECT d.doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(k, h))) AS kept_sha256
+FROM d LEFT JOIN kept ON kept.doc_id = d.doc_id
+"""
+
+ORACLES: dict[str, str] = {
+    "op4_suffix": OP4,
+    "op5_warc": OP5,
+    "op8_quality": OP8,
+    "op9_secrets": OP9,
+    "op10_pii": OP10,
+}
