@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spendweave.plans.marts import CAMPAIGN_KEYS
 from spendweave.sources.specs import SourceSpec
 
 
@@ -19,6 +20,18 @@ def row_counts(tables: dict[str, DataFrame], name: str = "table_name") -> DataFr
     return reduce(DataFrame.unionByName, counts)
 
 
+def view_row_counts(rollup: DataFrame) -> DataFrame:
+    """(view_name, row_count) of the four unified views, all from one campaign roll-up of the facts."""
+    one = rollup.agg(
+        F.coalesce(F.sum("row_count"), F.lit(0)).alias("UNIFIED_ADS"),
+        F.count_distinct(F.when(F.col("is_day"), F.struct("date", "platform"))).alias("DAILY_PLATFORM_SUMMARY"),
+        F.count_distinct(F.struct(*CAMPAIGN_KEYS)).alias("CAMPAIGN_PERFORMANCE"),
+        F.count_distinct("platform").alias("PLATFORM_SUMMARY"),
+    )
+    rows = [F.struct(F.lit(c).alias("view_name"), F.col(c).alias("row_count")) for c in one.columns]
+    return one.select(F.inline(F.array(*rows)))
+
+
 def length_violations(raw: DataFrame, spec: SourceSpec) -> DataFrame:
     """(column, limit, too_long): texts over their declared length, in one pass."""
     limited = [f for f in spec.fields if f.max_length]

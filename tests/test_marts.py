@@ -131,7 +131,7 @@ def test_campaigns_with_ranks(unified, facts):
     assert rows_of(df) == as_rows(want, df.columns)
     plain = marts.campaign_totals(unified)
     assert rows_of(plain) == as_rows(want, plain.columns)
-    counted = marts.with_ranks(plain, window_rows=0)
+    counted = marts.with_ranks(plain)
     assert rows_of(counted, *df.columns) == as_rows(want, df.columns)
 
 
@@ -229,7 +229,7 @@ def test_empty_feeds_give_empty_marts(spark):
     frames = [
         marts.daily_platform_summary(unified), marts.campaign_performance(unified), marts.platform_summary(unified),
         marts.weekly_trends(unified), marts.video_funnel(raw[2]), marts.quality_analysis(raw[1]),
-        marts.with_ranks(marts.campaign_totals(unified), window_rows=-1),
+        marts.with_ranks(marts.campaign_totals(unified)),
     ]
     assert [df.count() for df in frames] == [0] * len(frames)
     assert tuple(marts.kpi_totals(unified).first()) == (0, 0, 0, 0, 0.0, 0.0, 0.0, 0.0)

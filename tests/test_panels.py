@@ -16,7 +16,7 @@ def published(spark, tmp_path_factory):
 
 def test_dashboard_has_all_panels(published):
     frames = panels.dashboard(published["unified_ads"], published, Selection())
-    assert len(frames) == 16
+    assert len(frames) == 18
     assert all(df.count() > 0 for df in frames.values())
 
 
@@ -96,3 +96,13 @@ def test_tables_as_shown(spark):
         "28.9%", "31.6%",
     )
     assert row.asDict().keys() == panels.panel_platform_table(plat).first().asDict().keys()
+
+
+def test_dashboard_runs_on_the_views_of_the_session(spark):
+    raw = ads.frames(spark, *ads.random_feeds(seed=11, rows=60))
+    views = pipeline.register_views(*raw)
+    frames = panels.dashboard(views["unified_ads"], views, Selection(platforms=["Google", "TikTok"]))
+    found = [r.subject for r in frames["findings"].collect()]
+    assert found and "Facebook" not in found
+    assert {r.kind for r in frames["recommendations"].collect()} >= {"raise_platform"}
+    assert frames["funnel_stages"].count() > 0 and frames["quality_points"].count() > 0

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from spendweave.operators.selection import Selection, filter_daily, filter_facts, filter_platform
 from spendweave.operators.unify import unified_ads
-from spendweave.plans import insights, marts
+from spendweave.plans import audit, insights, marts
 from spendweave.sources.landing import landing_facts, raw_feeds
 from spendweave.sources.store import publish
 from tests import ads
@@ -128,3 +128,8 @@ def test_a_part_with_a_third_of_all_rows_is_split(spark, tmp_path):
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
     plain = marts.campaign_totals(landing_facts(spark, str(tmp_path)))
     assert sorted(plain.collect(), key=str) == rows
+
+
+def test_view_counts_scan_each_feed_once(stored):
+    plan = plan_of(audit.view_row_counts(marts.campaign_rollup(unified_ads(*stored))))
+    assert plan.count("FileScan parquet") == 3

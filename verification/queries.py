@@ -138,17 +138,8 @@ def _ordered(mart: str, build: Callable[[DataFrame], DataFrame], on) -> Query:
     return on(lambda df: _numbered(pick.ordered(build(df), mart), *keys))
 
 
-def _view_counts(spark: SparkSession, folder: str) -> DataFrame:
-    u = landing_facts(spark, folder, campaigns=False)
-    return audit.row_counts(
-        {
-            "UNIFIED_ADS": u,
-            "DAILY_PLATFORM_SUMMARY": marts.daily_platform_summary(u),
-            "CAMPAIGN_PERFORMANCE": marts.campaign_totals(landing_facts(spark, folder)),
-            "PLATFORM_SUMMARY": marts.platform_summary(u),
-        },
-        name="view_name",
-    )
+def _view_counts(u: DataFrame) -> DataFrame:
+    return audit.view_row_counts(marts.campaign_rollup(u))
 
 
 def _raw_counts(*feeds: DataFrame) -> DataFrame:
@@ -239,7 +230,7 @@ QUERIES: dict[str, Query] = {
     "unified_row_kpis": _on_facts(lambda u: u),
     "published_row_counts": _on_feeds(_published_counts),
     "raw_row_counts": lambda spark, folder: plain(_raw_counts(*raw_feeds(spark, folder, campaigns=False))),
-    "view_row_counts": lambda spark, folder: plain(_view_counts(spark, folder)),
+    "view_row_counts": _on_facts(_view_counts),
     "published_daily": _published("daily_platform_summary"),
     "published_campaigns": _published("campaign_performance"),
     "published_platforms": _published("platform_summary"),
