@@ -7,13 +7,14 @@ segment of less than 2 WIDTH bytes.
 
 1. Segments meet by anchor, as hashes. Of equal segments the first stays, and the strings of all others are repeats.
 2. Segments that share an anchor but differ, mostly around the ends of repeats, send their
-   bytes, one copy of each, to shards by anchor. A shard holds whole anchors and has a bounded size.
+   bytes, one copy of each, to shards by the anchor and the SIDE bytes before or behind it, one of which any two
+   equal strings share as well. So a short text that is everywhere draws nothing together.
 3. A shard builds a Burrows-Wheeler transform of its segments as runs, with the places of run ends, and streams
    the segments backwards through it. The row that the stream reaches says to which match of WIDTH bytes a
    string belongs; strings whose match has an earlier member are repeats.
 4. The strings found are laid over the documents' bytes.
 
-An anchor with more segments than a shard takes is cut; what then is first in its part goes
+A key with more bytes than a shard takes is cut; what then is first in its part goes
 through a grouped minimum by the string's 128-bit hash, so that no group has to fit anywhere.
 """
 
@@ -36,6 +37,8 @@ from spendweave.sources.store import materialise
 WIDTH = 100
 #: Bytes of an anchor.
 K = 16
+#: Of the bytes beside its anchor a string holds so many before, or else as many behind.
+SIDE = (WIDTH - K) // 2
 #: A shard is closed at so many bytes.
 SHARD_BYTES = 2 << 20
 #: Documents of at most so many bytes are scanned together; longer ones in steps of as many strings.
@@ -161,15 +164,14 @@ class RunIndex:
     """Burrows-Wheeler transform of segments, each closed by an end of its own, as runs.
 
     A row is a suffix. Only runs are kept: their first rows and symbols, how often the symbol was seen before,
-    and the places of the suffixes in a run's first and last row. ``matches`` are the rows where a suffix shares less
+    and the place of the suffix at the end of a run where it begins. ``matches`` are the rows where a suffix shares less
     than WIDTH symbols with the one before.
     """
 
     starts: np.ndarray
     symbols: np.ndarray
     seen: np.ndarray
-    first_place: np.ndarray
-    last_place: np.ndarray
+    run_place: np.ndarray
     matches: np.ndarray
     less: np.ndarray
     rows: int
@@ -191,23 +193,23 @@ class RunIndex:
         seen[by] = total - np.maximum.accumulate(np.where(fresh, total, 0))
         counts = np.bincount(text, minlength=258)
         return cls(
-            starts, symbols, seen, order[starts], order[starts + sizes - 1], matches, counts.cumsum() - counts, len(text)
+            starts, symbols, seen, order[starts], matches, counts.cumsum() - counts, len(text)
         )
 
     def stream(self, lengths: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """Backward through all segments at once: (segments, places in them, matches that these suffixes belong to).
+        """Backward through all segments at once: (segments, places in them, matches) of whole strings.
 
         A stream starts at the row of its segment's end. Each step finds the run of the row, and so
-        the symbol before and its row. At run ends the kept places have to be where the stream is.
+        the symbol before and its row. At a sampled run end the kept place has to be where the stream is.
         """
         ends = (lengths + 1).cumsum() - 1
         rows, left, open_ = np.arange(len(lengths)), lengths.copy(), np.arange(len(lengths))
         for step in range(int(lengths.max(initial=0)) + 1):
             run = np.searchsorted(self.starts, rows, "right") - 1
             at_start = rows == self.starts[run]
-            if (self.first_place[run[at_start]] != (ends[open_] - step)[at_start]).any():
+            if (self.run_place[run[at_start]] != (ends[open_] - step)[at_start]).any():
                 raise AssertionError("the stream has left its segment")
-            if step:
+            if step >= WIDTH:  # what is nearer to the end starts no whole string
                 yield open_, left[open_] - step, np.searchsorted(self.matches, rows, "right") - 1
             going = left[open_] > step
             rows = (self.less[self.symbols[run]] + self.seen[run] + rows - self.starts[run])[going]
@@ -226,8 +228,10 @@ def suffix_order(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     for k in range(8):  # nothing behind an end counts
         key = key << np.uint64(8) | np.where(over, np.uint64(0), padded[k : n + k])
         over |= padded[k : n + k] == 0
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     sorted_key, ended = key[order], over[order]
+    level = np.flatnonzero(ended & (np.append(sorted_key[1:] == sorted_key[:-1], False) | np.append(False, sorted_key[1:] == sorted_key[:-1])))
+    order[level] = order[level][np.lexsort((order[level], sorted_key[level]))]  # ended ones by place
     new = np.concatenate([[True], (sorted_key[1:] != sorted_key[:-1]) | ended[1:] | ended[:-1]])
     rank = np.empty(n, np.int64)
     rank[order] = np.maximum.accumulate(np.where(new, np.arange(n), 0))  # first row of a suffix's equals
@@ -240,7 +244,7 @@ def suffix_order(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             break
         suffixes = order[tied]
         second = rank[suffixes + width]
-        by = np.lexsort((second, rank[suffixes]))
+        by = np.argsort(rank[suffixes] * n + second)
         order[tied] = suffixes = suffixes[by]
         second, group = second[by], rank[suffixes]
         new[tied] |= np.concatenate([[True], (group[1:] != group[:-1]) | (second[1:] != second[:-1])])
@@ -254,18 +258,14 @@ def suffix_order(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def repeated(pieces: list[bytes]) -> list[np.ndarray]:
-    """Per segment, which of its strings start a match that an earlier place starts too, and all strings'
-    matches do not leave the shard: the index of the shard is built, streamed and dropped."""
+    """Per segment, which of its strings an earlier place of the shard starts too."""
     index = RunIndex.build(pieces)
     lengths = np.array([len(p) for p in pieces], np.int64)
     offsets = (lengths + 1).cumsum() - lengths - 1
     match = np.full(index.rows, -1, np.int64)
     for which, place, at in index.stream(lengths):
         match[offsets[which] + place] = at
-    whole = np.zeros(index.rows, bool)
-    for offset, length in zip(offsets.tolist(), lengths.tolist()):
-        whole[offset : offset + max(length - WIDTH + 1, 0)] = True
-    places = np.flatnonzero(whole)
+    places = np.flatnonzero(match >= 0)
     first = np.full(len(index.matches), index.rows, np.int64)
     np.minimum.at(first, match[places], places)
     again = np.zeros(index.rows, bool)
@@ -283,69 +283,97 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def sides(raw: bytes, at: int) -> Iterator[tuple[int, int, bytes]]:
+    """(key, at, bytes) of a segment's strings that hold the SIDE bytes before its anchor, and of the others, which
+    hold those behind it. Equal strings lie on one side of equal anchors and so have equal keys."""
+    first, n = at >> 16, at >> 8 & 255
+    anchor = first + (at & 255)
+    n_before = min(n, max(anchor - SIDE - first + 1, 0))
+    if n_before:
+        key = xxhash.xxh3_64_intdigest(raw[anchor - SIDE : anchor + K], 0)
+        yield key, first << 16 | n_before << 8, raw[first : first + n_before + WIDTH - 1]
+    if n_before < n:
+        start = first + n_before
+        key = xxhash.xxh3_64_intdigest(raw[anchor : anchor + K + SIDE], 1)
+        yield key, start << 16 | (n - n_before) << 8, raw[start : first + n + WIDTH - 1]
+
+
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The bytes of the segments that are to be compared."""
+    """The bytes of the segments that are to be compared, by side."""
     reader = zstd.ZstdDecompressor()
     for batch in batches:
         for row in batch.to_pylist():
             raw = reader.decompress(row["packed"])
-            at = [s["at"] for s in row["found"]]
-            cut = [raw[a >> 16 : (a >> 16) + (a >> 8 & 255) + WIDTH - 1] for a in at]
+            made = [x for at in row["found"] for x in sides(raw, at)]
+            keys, ats, pieces = zip(*made) if made else ((), (), ())
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([s["anchor"] for s in row["found"]], pa.int64()),
-                    pa.array([row["doc"]] * len(at), pa.int64()),
-                    pa.array([row["tie"]] * len(at), pa.int64()),
-                    pa.array(at, pa.int64()),
-                    pa.array(cut, pa.binary()),
+                    pa.array(np.array(keys, np.uint64).view(np.int64)),
+                    pa.array([row["doc"]] * len(made), pa.int64()),
+                    pa.array([row["tie"]] * len(made), pa.int64()),
+                    pa.array(ats, pa.int64()),
+                    pa.array(pieces, pa.binary()),
                 ],
-                ["anchor", "doc", "tie", "at", "segment"],
+                ["key", "doc", "tie", "at", "segment"],
             )
 
 
 def _compare(shard_bytes: int):
-    """Segments sorted by anchor and place to the repeats among them, as (doc, tie, at, null). Of an anchor that was
-    cut, what is first in its part also comes, string by string, with its hash."""
+    """Segments sorted by key and place to the repeats among them, as (doc, tie, at, null).
+
+    Nothing is compared to a segment that is alone with its key, and of equal segments only the first is
+    indexed. Of a key with more bytes than a shard takes, what is first in its part also comes, string by string, with its hash.
+    """
+
+    def listed(rows: list[tuple[int, int, int, bytes | None]]) -> pa.RecordBatch:
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+        columns = zip(*rows) if rows else [()] * 4
+        return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(columns, kinds)], ["doc", "tie", "at", "hash"])
 
-    def judged(rows: list[tuple], cut: int | None) -> pa.RecordBatch:
-        docs, ties, ats, hashes = [], [], [], []
-        for (anchor, doc, tie, at, piece), again in zip(rows, repeated([r[4] for r in rows])):
+    def judged(rows: list[tuple], part: bool) -> pa.RecordBatch:
+        out = []
+        for (_, doc, tie, at, piece), again in zip(rows, repeated([r[4] for r in rows])):
             edges = np.flatnonzero(np.diff(np.concatenate([[False], again, [False]])))
             for lo, hi in zip(edges[::2].tolist(), edges[1::2].tolist()):
-                docs.append(doc)
-                ties.append(tie)
-                ats.append((at >> 16) + lo << 16 | hi - lo << 8)
-                hashes.append(None)
-            for k in np.flatnonzero(~again).tolist() if anchor == cut else ():
-                docs.append(doc)
-                ties.append(tie)
-                ats.append((at >> 16) + k << 16 | 1 << 8)
-                hashes.append(xxhash.xxh3_128_digest(piece[k : k + WIDTH]))
-        kinds = (docs, pa.int64()), (ties, pa.int64()), (ats, pa.int64()), (hashes, pa.binary())
-        return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in kinds], ["doc", "tie", "at", "hash"])
+                out.append((doc, tie, (at >> 16) + lo << 16 | hi - lo << 8, None))
+            for k in np.flatnonzero(~again).tolist() if part else ():
+                digest = xxhash.xxh3_128_digest(piece[k : k + WIDTH])
+                out.append((doc, tie, (at >> 16) + k << 16 | 1 << 8, digest))
+        return listed(out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, size, cut = [], 0, None
+        shard, size = [], 0  # whole keys
+        key, group, seen, group_size, parts = None, [], set(), 0, False
         for batch in batches:
+            equal = []
             for row in zip(*(batch.column(i).to_pylist() for i in range(5))):
-                if size >= shard_bytes:
-                    if row[0] == rows[-1][0]:  # one anchor goes on: all its parts are cut
-                        if rows[0][0] != row[0] and cut != row[0]:
-                            whole = [r for r in rows if r[0] != row[0]]
-                            yield judged(whole, cut)
-                            rows = rows[len(whole) :]
-                            size = sum(len(r[4]) for r in rows)
+                if row[0] != key:
+                    if parts and group:
+                        yield judged(group, True)
+                    elif len(group) > 1:
+                        shard += group
+                        size += group_size
                         if size >= shard_bytes:
-                            cut = row[0]
-                            yield judged(rows, cut)
-                            rows, size = [], 0
-                    else:
-                        yield judged(rows, cut)
-                        rows, size = [], 0
-                rows.append(row)
-                size += len(row[4])
-        if rows:
-            yield judged(rows, cut)
+                            yield judged(shard, False)
+                            shard, size = [], 0
+                    key, group, seen, group_size, parts = row[0], [], set(), 0, False
+                if row[4] in seen:
+                    equal.append((row[1], row[2], row[3], None))
+                    continue
+                group.append(row)
+                seen.add(row[4])
+                group_size += len(row[4])
+                if group_size >= shard_bytes:
+                    yield judged(group, True)
+                    group, seen, group_size, parts = [], set(), 0, True
+            if equal:
+                yield listed(equal)
+        if parts and group:
+            yield judged(group, True)
+        elif len(group) > 1:
+            shard += group
+        if shard:
+            yield judged(shard, False)
 
     return run
 
@@ -398,10 +426,10 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     found, _ = materialise(met.mapInArrow(_first_of_each, "doc bigint, tie bigint, at bigint, anchor bigint"), "segments")
 
     packed = placed.mapInArrow(_pack, "doc bigint, tie bigint, packed binary")
-    differing = found.where("anchor IS NOT NULL").groupBy("doc", "tie").agg(F.collect_set(F.struct("at", "anchor")).alias("found"))
+    differing = found.where("anchor IS NOT NULL").groupBy("doc", "tie").agg(F.collect_set("at").alias("found"))
     once = packed.dropDuplicates(["doc", "tie"]) if shared else packed
-    cut = once.join(differing, ["doc", "tie"]).mapInArrow(_cut, "anchor bigint, doc bigint, tie bigint, at bigint, segment binary")
-    cut = cut.repartition("anchor").sortWithinPartitions("anchor", "doc", "tie", "at")
+    cut = once.join(differing, ["doc", "tie"]).mapInArrow(_cut, "key bigint, doc bigint, tie bigint, at bigint, segment binary")
+    cut = cut.repartition("key").sortWithinPartitions("key", "doc", "tie", "at")
     compared, _ = materialise(cut.mapInArrow(_compare(shard_bytes), "doc bigint, tie bigint, at bigint, hash binary"), "compared")
     single = compared.where("hash IS NOT NULL")
     first = single.groupBy("hash").agg(F.min(F.struct("doc", "tie", "at")).alias("first"))
