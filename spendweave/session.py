@@ -1,4 +1,4 @@
-"""Session settings for local runs, and the ones we recommend on a cluster."""
+"""Session settings for local runs; COMMON_CONF holds on a cluster too."""
 
 from __future__ import annotations
 
@@ -16,16 +16,6 @@ COMMON_CONF = {
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
-# A wide initial shuffle lets AQE merge small partitions instead of spilling big
-# ones; a reliable checkpoint folder has to come from the cluster itself.
-CLUSTER_CONF = {
-    **COMMON_CONF,
-    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8000",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
-    "spark.sql.files.maxPartitionBytes": "256m",
-}
-
-
 def local_session(cores: int | str = "*", app_name: str = "spendweave", **conf: str) -> SparkSession:
     """A single-JVM session for tests and benchmarks."""
     builder = (

@@ -90,7 +90,7 @@ def scratch_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        if not context.master.startswith("local"):
+        if context.master != "local" and not context.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
         folder = tempfile.mkdtemp(prefix="spendweave-")
         context.setCheckpointDir(folder)
