@@ -6,6 +6,7 @@ those of one anchor. The strings of a document that have the same anchor piece o
 segment of less than 2 WIDTH bytes.
 
 1. Segments meet by anchor, as hashes. Of equal segments the first stays, and the strings of all others are repeats.
+   What repeats within a task's batch is known before it is dealt out, so that copies do not crowd at their anchor.
 2. Segments that share an anchor but differ, mostly around the ends of repeats, send their
    bytes, one copy of each, to shards by the anchor and the SIDE bytes before or behind it, one of which any two
    equal strings share as well. So a short text that is everywhere draws nothing together.
@@ -44,6 +45,7 @@ SHARD_BYTES = 2 << 20
 #: Documents of at most so many bytes are scanned together; longer ones in steps of as many strings.
 TOGETHER = 1 << 20
 
+_KNOWN = 128  # in the place of an anchor, which is less: the segment is known to be a repeat
 _LAST = 0x7FFFFFFFFFFFFFFF
 _PLACE = np.uint64((1 << 24) - 1)
 
@@ -88,8 +90,27 @@ def segments(points: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return h[place], first, n, place - first
 
 
+def _combined(rows: np.ndarray) -> np.ndarray:
+    """Segments with those marked that repeat another one here: they need not meet their anchor, and so are spread."""
+    order = np.lexsort(rows[::-1])
+    rows = rows[:, order]
+    new = np.concatenate([[True], (rows[:2, 1:] != rows[:2, :-1]).any(axis=0)])[: rows.shape[1]]
+    lead = rows[2:, np.maximum.accumulate(np.where(new, np.arange(rows.shape[1]), 0))]
+    later = (rows[2:] != lead).any(axis=0)
+    rows[4, later] |= _KNOWN
+    rows[0, later] = _mixed(rows[:, later])
+    return rows
+
+
+def _mixed(rows: np.ndarray) -> np.ndarray:
+    """A mixed number for each column."""
+    mixed = rows[2].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + rows[4].astype(np.uint64)
+    mixed = (mixed ^ mixed >> np.uint64(29)) * np.uint64(0xD6E8FEB86659FD93)
+    return (mixed ^ mixed >> np.uint64(32)).view(np.int64)
+
+
 def _anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc, tie, text) to (anchor, content, doc, tie, at), where at packs first string, strings and anchor's place."""
+    """(doc, tie, text) to (anchor, content, doc, tie, at); at packs first string, strings and anchor's place, marked if known to repeat."""
     for batch in batches:
         docs, ties = (batch.column(i).to_numpy() for i in (0, 1))
         todo: list[tuple[int, int, bytes]] = []  # row, offset, piece
@@ -107,7 +128,7 @@ def _anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             row = np.array([r for r, _, _ in todo], np.int64)[of]
             shift = np.array([o - (e - len(p)) for (_, o, p), e in zip(todo, ends.tolist())], np.int64)[of]
             at = (first + shift) << 16 | n << 8 | place
-            columns = [anchor.view(np.int64), content.view(np.int64), docs[row], ties[row], at]
+            columns = _combined(np.stack([anchor.view(np.int64), content.view(np.int64), docs[row], ties[row], at]))
             return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["anchor", "content", "doc", "tie", "at"])
 
         for r, text in enumerate(batch.column(2)):
@@ -134,6 +155,15 @@ def _first_of_each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             continue
         anchor, content, doc, tie, at = (batch.column(i).to_numpy() for i in range(5))
         rows = np.stack([anchor, content, doc, tie, at])
+        known = rows[4] & _KNOWN > 0
+        if known.any():
+            passed = rows[2:, known]
+            yield pa.RecordBatch.from_arrays(
+                [*(pa.array(c) for c in (passed[0], passed[1], passed[2] & ~_KNOWN)), pa.nulls(known.sum(), pa.int64())], names
+            )
+            rows = rows[:, ~known]
+            if not rows.shape[1]:
+                continue
         if first is not None:  # what is open goes before this batch
             rows = np.concatenate([first[:, None], rows], axis=1)
         new_anchor = np.concatenate([[True], rows[0, 1:] != rows[0, :-1]])
