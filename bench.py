@@ -26,6 +26,7 @@ HEADLINE = [
     "daily_platform_summary",
     "campaign_totals",
     "campaign_performance",
+    "campaign_ranks_counted",
     "platform_summary",
     "weekly_trends",
     "video_funnel",
@@ -35,6 +36,7 @@ HEADLINE = [
     "kpi_totals",
     "panel_radar",
     "view_row_counts",
+    "published_row_counts",
     "executive_insights",
     "recommendations",
 ]
