@@ -56,7 +56,8 @@ def fingerprint(text: str | None) -> int:
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         fp = np.fromiter((fingerprint(t.as_py()) for t in batch.column(1)), np.uint64, batch.num_rows)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
+        columns = [batch.column(0), pa.array(fp.view(np.int64)), *batch.columns[2:]]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "fp", *batch.schema.names[2:]])
 
 
 def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -97,8 +98,11 @@ def _keys(kept: list[int], table: str, key: str) -> str:
     return f"array({', '.join(parts)})"
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, fp, component_id) per row of ``docs``; the component is the smallest doc_id reachable by links.
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", place: str | None = None) -> DataFrame:
+    """(doc_id, fp, component_id, label) per row of ``docs``; the component is the smallest doc_id reachable by links.
+
+    ``label``, a fingerprint, tells components apart also where ids repeat or are null. ``place``
+    names a BIGINT column of ``docs`` that comes back with each row, as ``place``.
 
     Equal fingerprints meet as one before any pairing, so copies cost nothing beyond their
     row. Only tables' buckets are searched, and a bucket gives as many edges as connect its
@@ -112,9 +116,11 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     ``docs`` are not read.
     """
     small_batches(docs.sparkSession)
-    rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
+    told = [F.col(f"`{place}`").cast("bigint").alias("place")] if place else []
+    rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"), *told)
     rows = rows.withColumn("doc_id", F.col("doc_id").cast("bigint"))
-    rows, _ = materialise(rows.mapInArrow(_fingerprints, "doc_id bigint, fp bigint"), "fingerprints")
+    kept = "doc_id bigint, fp bigint" + (", place bigint" if place else "")
+    rows, _ = materialise(rows.mapInArrow(_fingerprints, kept), "fingerprints")
     classes, _ = materialise(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprint-classes")
     fps = classes.select("fp")
     few, many = _bucketed(fps, _keys(masks(), "t", "k"))
@@ -125,7 +131,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     labels = components(edges).withColumnsRenamed({"node": "fp", "component": "label"})
     labelled = classes.join(labels, "fp", "left").withColumn("label", F.coalesce("label", "fp"))
     named = labelled.groupBy("label").agg(F.min("least").alias("component_id"))
-    return rows.join(labelled.join(named, "label").select("fp", "component_id"), "fp")
+    return rows.join(labelled.join(named, "label").select("fp", "component_id", "label"), "fp")
 
 
 def digest(linked: DataFrame) -> DataFrame:
