@@ -1,6 +1,7 @@
 """Registered queries against their SQL, and the pipeline against plain rules, on the smallest tables."""
 
 import base64
+import random
 import re
 from collections import Counter
 from pathlib import Path
@@ -11,6 +12,7 @@ import pytest
 import tiktoken
 from test_llm_native import SECRETS, measures
 from test_llm_text import brute_components, fingerprint
+from texts import documents
 
 import corpus_pipeline
 from spendweave.llm import decontaminate, secretscan
@@ -97,3 +99,29 @@ def test_stages_take_awkward_documents(spark):
             assert out.count() <= frame.count()
         assert corpus_pipeline.STAGES[-1][1](spark, frame, DATA).count() == frame.count()
     assert corpus_pipeline.keep_one_of_each(spark, docs, DATA).count() == 1
+
+
+def test_stages_keep_the_values_of_columns_with_any_name(spark):
+    names = ["rejected_by", "_key", "_place", "key", "place", "label", "fp", "blob", "Leaks", "found", "_text", "_whole_text", "_leaks0", "a.b", "words"]
+    text = " ".join(f"plain{k} words of a clean text," for k in range(12)) + " and the end."
+    rows = [(i, f"{text} {'again ' * i}", *[f"{n}{i}" for n in names]) for i in (1, 2)]
+    schema = "doc_id bigint, text string, " + ", ".join(f"`{n}` string" for n in names)
+    docs = spark.createDataFrame(rows + [(3, None, *names)], schema)
+    told = {r[0]: tuple(r)[2:] for r in docs.collect()}
+    kept = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, kept, DATA)
+        assert kept.columns == docs.columns and kept.count() > 0, name
+        assert all(tuple(r)[2:] == told[r[0]] for r in kept.collect()), name
+
+
+def test_one_row_of_each_group_stays(spark):
+    rng = random.Random(22)
+    base, other = (" ".join(f"v{rng.randrange(5000)}" for _ in range(400)) for _ in range(2))
+    far = " ".join(f"w{rng.randrange(5000)}" for _ in range(400))
+    rows = [(3, base), (5, base), (5, other), (6, other), (8, far), (8, far), (8, f"{far} "), (None, base), (None, "alone at last"), (None, "alone at last")]
+    groups = brute_components({k: fingerprint(t) for k, (_, t) in enumerate(rows)})
+    assert len(set(groups.values())) == 4
+    docs = documents(spark, rows)
+    kept = sorted((r.doc_id or 0, r.text.strip()) for r in corpus_pipeline.keep_one_of_each(spark, docs, "").collect())
+    assert kept == sorted([(3, base), (5, other), (8, far), (0, "alone at last")])
