@@ -133,10 +133,121 @@ SELECT d.doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_remo
 FROM d LEFT JOIN kept ON kept.doc_id = d.doc_id
 """
 
+
+def _crc32(text: str) -> str:
+    """CRC-32 of a text's UTF-8 bytes; needs ``entries`` of the one-row table crc_table in scope."""
+    octets = f"list_transform(range(length(hex(encode({text}))) // 2), lambda byte_no: ('0x' || substr(hex(encode({text})), 2 * byte_no + 1, 2))::BIGINT)"
+    step = "xor(c >> 8, entries[CAST(xor(c, b) & 255 AS INT) + 1])"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {octets}), lambda c, b: {step}), 4294967295)"
+
+
+_BIT = "xor(c >> 1, 3988292384 * (c & 1))"
+CRC_TABLE = f"""
+crc_table AS (
+  SELECT list(c ORDER BY i) AS entries FROM (
+    SELECT i, list_reduce(list_prepend(i::BIGINT, range(8)), lambda c, k: {_BIT}) AS c FROM range(256) AS r(i)))"""
+
+# letters that are not a to z, as single bytes, so that byte edits are code point edits
+_WIDE = "".join(map(chr, range(0xC0, 0x100)))
+_NARROW = "".join(c for c in map(chr, range(33, 127)) if c not in "abcdefghijklmnopqrstuvwxyz'")[:64]
+
+OP11 = f"""
+WITH RECURSIVE {CRC_TABLE.strip()},
+runs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS i,
+    unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\\x{{C0}}-\\x{{FF}}]+')) AS run
+  FROM documents),
+counted AS (SELECT i, run, count(*) AS n FROM runs WHERE length(run) >= 7 GROUP BY ALL),
+hashed AS (SELECT *, {_crc32("i || ':' || run")} AS h FROM counted, crc_table),
+cut AS (
+  SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n
+  FROM hashed),
+words AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n, translate(word, '{_WIDE}', '{_NARROW}') AS narrow
+  FROM cut WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+-- two words one edit apart are one word, or become one, where a letter of either is deleted
+shorter AS (
+  SELECT word, n, narrow, narrow AS rest FROM words UNION ALL
+  SELECT DISTINCT word, n, narrow, substr(narrow, 1, k - 1) || substr(narrow, k + 1)
+  FROM (SELECT *, unnest(range(1, length(narrow) + 1)) AS k FROM words)),
+pairs AS (
+  SELECT DISTINCT a.word, a.n, b.word AS near, b.n AS near_n
+  FROM shorter AS a JOIN shorter AS b ON a.rest = b.rest AND a.word <> b.word WHERE levenshtein(a.narrow, b.narrow) = 1),
+best AS (
+  SELECT word, count(*) AS n_near, max(near_n) AS top FROM pairs GROUP BY word),
+formed AS (
+  SELECT pairs.word, min(near ORDER BY encode(near)) AS form, any_value(top) AS form_n
+  FROM pairs JOIN best ON best.word = pairs.word AND near_n = top WHERE top >= 10 * n GROUP BY pairs.word),
+path AS (
+  SELECT word, word AS reached, 0 AS steps FROM words UNION ALL
+  SELECT path.word, form, steps + 1 FROM path JOIN formed ON formed.word = path.reached)
+SELECT words.word, form, root, n, coalesce(n_near, 0) AS n_near, form_n
+FROM words LEFT JOIN best ON best.word = words.word LEFT JOIN formed ON formed.word = words.word
+JOIN (SELECT word, arg_max(reached, steps) AS root FROM path GROUP BY word) AS roots ON roots.word = words.word
+"""
+
+
+OP12 = f"""
+WITH RECURSIVE {CRC_TABLE.strip()},
+turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+      unhex(sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')))) AS p
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS base, {_crc32("CAST(conv_id AS VARCHAR)")} % 6 AS h
+  FROM (SELECT DISTINCT conv_id FROM turns), crc_table),
+rebuilt AS (
+  SELECT c.conv_id, 0 AS part, p, role, text FROM convs AS c JOIN turns AS t ON t.conv_id = c.base AND t.p <= c.h
+  UNION ALL
+  SELECT c.conv_id, 1, p, role, text FROM convs AS c JOIN turns AS t ON t.conv_id = c.conv_id AND t.p > c.h),
+prefixes AS (
+  SELECT conv_id, row_number() OVER w AS depth, length(text) AS size, list(struct_pack(role := role, text := text)) OVER w AS prefix
+  FROM rebuilt WINDOW w AS (PARTITION BY conv_id ORDER BY part, p)
+  UNION ALL SELECT conv_id, 0, 0, [] FROM convs),
+lengths AS (SELECT conv_id, max(depth) AS own FROM prefixes GROUP BY conv_id),
+nodes AS (
+  SELECT prefix, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(size) AS size,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (own = depth), '')) AS ends_sha256
+  FROM prefixes JOIN lengths USING (conv_id) GROUP BY prefix, depth),
+-- a conversation's node at a depth is named by the first conversation that has it
+named AS (
+  SELECT p.conv_id AS member, n.depth, n.conv_id, n.n_convs, n.size, n.ends_sha256
+  FROM prefixes AS p JOIN nodes AS n ON n.prefix = p.prefix),
+parents AS (
+  SELECT c.conv_id, c.depth, c.n_convs, c.size, c.ends_sha256, p.conv_id AS parent_conv_id
+  FROM (SELECT * FROM named WHERE member = conv_id) AS c LEFT JOIN named AS p ON p.member = c.conv_id AND p.depth = c.depth - 1),
+children AS (SELECT parent_conv_id AS conv_id, depth - 1 AS depth, count(*) AS n FROM parents WHERE depth > 0 GROUP BY ALL),
+full_nodes AS (
+  SELECT parents.*, coalesce(n, 0) AS n_children FROM parents LEFT JOIN children USING (conv_id, depth)),
+sums AS (
+  SELECT above.conv_id, above.depth, count(*) FILTER (low.n_children = 0) AS n_leaves, sum((low.n_convs - 1) * low.size) AS saved
+  FROM full_nodes AS low JOIN named AS above ON above.member = low.conv_id AND above.depth <= low.depth GROUP BY ALL)
+SELECT conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, CAST(saved AS BIGINT) AS saved_tokens, ends_sha256
+FROM full_nodes JOIN sums USING (conv_id, depth)
+"""
+
+
+OP13 = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS vec
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, v.vec_id, CAST(list_inner_product(q.vec, v.vec) AS BIGINT) AS score
+  FROM v AS q JOIN v ON v.vec_id <> q.vec_id WHERE q.vec_id % 100 = 0),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
 ORACLES: dict[str, str] = {
     "op4_suffix": OP4,
     "op5_warc": OP5,
     "op8_quality": OP8,
     "op9_secrets": OP9,
     "op10_pii": OP10,
+    "op11_spelling": OP11,
+    "op12_prefixes": OP12,
+    "op13_topk": OP13,
 }

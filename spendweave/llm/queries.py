@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from spendweave.llm import bpe, decontaminate, htmltext, pii, quality, repair, secretscan, simhash, suffix, warc
+from spendweave.llm import bpe, decontaminate, htmltext, pii, prefixes, quality, repair, secretscan, simhash, spelling, suffix, topk, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -69,6 +69,21 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.digest(pii.find(docs))
 
 
+def op11_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of all documents with the common word that they are a variant of."""
+    return spelling.variants(_table(spark, folder, "documents"))
+
+
+def op12_prefixes(spark: SparkSession, folder: str) -> DataFrame:
+    """Nodes of the prefix trie of all conversations."""
+    return prefixes.trie(_table(spark, folder, "conversations"))
+
+
+def op13_topk(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten best of all vectors for every hundredth one."""
+    return topk.search(_table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_html": op2_html,
@@ -80,4 +95,7 @@ QUERIES: dict[str, Query] = {
     "op8_quality": op8_quality,
     "op9_secrets": op9_secrets,
     "op10_pii": op10_pii,
+    "op11_spelling": op11_spelling,
+    "op12_prefixes": op12_prefixes,
+    "op13_topk": op13_topk,
 }
