@@ -32,22 +32,34 @@ def with_global_ranks(df: DataFrame, rankings: list[Ranking]) -> DataFrame:
     Runs ``df`` once and keeps it as a scratch table, so that no rank has to compute it again.
     """
     values = [f"_value{i}" for i in range(len(rankings))]
-    stored, _ = materialise(df.withColumns({v: r.value for v, r in zip(values, rankings)}), "ranked")
-    ranges = _ranges(stored, values, [r.descending for r in rankings])
-    for i, (value, ranking) in enumerate(zip(values, rankings)):
-        # the id of a grouping set has a bit for each column that it leaves out
-        own_set = 2 ** len(values) - 1 - 2 ** (len(values) - 1 - i)
-        ranks = _ranks(ranges.where(F.col("_set") == own_set), value, ranking)
-        # one match per row; AQE splits the partition of a value that many rows share
-        stored = stored.join(ranks, stored[value].eqNullSafe(ranks["_ranked_value"])).drop(value, "_ranked_value")
-    return stored
+    placed = df.withColumns({v: r.value for v, r in zip(values, rankings)})
+    stored, _ = materialise(placed.withColumn("_row", F.monotonically_increasing_id()), "ranked")
+    # the id of a grouping set has a bit for each column that it leaves out
+    sets = [2 ** len(values) - 1 - 2 ** (len(values) - 1 - i) for i in range(len(values))]
+    order = [_ordered(v, r.descending) for v, r in zip(values, rankings)]
+    ranks = _ranks(_ranges(stored, values, order), values, order)
+    # a narrow row for each row and ranking, with that ranking's value alone, meets its rank
+    kinds = dict(stored.select(*values).dtypes)
+    each = F.array(*[
+        F.struct(F.lit(own).alias("_set"), *[(F.col(v) if v == value else F.lit(None).cast(kinds[v])).alias(f"{v}_own") for v in values])
+        for own, value in zip(sets, values)
+    ])
+    narrow = stored.select("_row", F.inline(each))
+    same = F.col("_set") == F.col("_ranked_set")
+    for value in values:
+        same &= F.col(f"{value}_own").eqNullSafe(F.col(value))
+    # one match per row; AQE splits the partition of a value that many rows share
+    found = narrow.join(ranks, same).groupBy("_row").agg(
+        *[F.max(F.when(F.col("_set") == own, F.col("_rank"))).alias(r.out) for own, r in zip(sets, rankings)]
+    )
+    return stored.drop(*values).join(found, "_row").drop("_row")
 
 
 def _ordered(value: str, descending: bool) -> Column:
     return F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_last()
 
 
-def _ranges(stored: DataFrame, values: list[str], descending: list[bool]) -> DataFrame:
+def _ranges(stored: DataFrame, values: list[str], order: list[Column]) -> DataFrame:
     """(set, value columns, n, range): distinct values of each ranking with their range in its order.
 
     Stored, so that all that is built on range numbers agrees on them.
@@ -57,29 +69,25 @@ def _ranges(stored: DataFrame, values: list[str], descending: list[bool]) -> Dat
     counts = stored.groupingSets([[k] for k in keys], *keys).agg(
         F.grouping_id().alias("_set"), F.count(F.lit(1)).alias("_n")
     )
-    order = [_ordered(v, d) for v, d in zip(values, descending)]
     ranged = counts.repartitionByRange(F.col("_set"), *order).withColumn("_range", F.spark_partition_id())
     return materialise(ranged, "ranges")[0]
 
 
-def _ranks(ranges: DataFrame, value: str, ranking: Ranking) -> DataFrame:
-    # a row per range
-    before_range = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+def _ranks(ranges: DataFrame, values: list[str], order: list[Column]) -> DataFrame:
+    """(ranked set, value columns, rank) of all rankings; within a set only its own value is not NULL."""
+    # a row per set and range
+    before_range = Window.partitionBy("_set").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        ranges.groupBy("_range")
+        ranges.groupBy("_set", "_range")
         .agg(F.sum("_n").alias("_total"))
-        .select("_range", F.coalesce(F.sum("_total").over(before_range), F.lit(0)).alias("_offset"))
-    )
-    in_range = (
-        Window.partitionBy("_range")
-        .orderBy(_ordered(value, ranking.descending))
-        .rowsBetween(Window.unboundedPreceding, -1)
+        .select("_set", "_range", F.coalesce(F.sum("_total").over(before_range), F.lit(0)).alias("_offset"))
     )
+    in_range = Window.partitionBy("_set", "_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     return (
         ranges.withColumn("_before", F.coalesce(F.sum("_n").over(in_range), F.lit(0)))
-        .join(offsets, "_range")
+        .join(offsets, ["_set", "_range"])
         .select(
-            F.col(value).alias("_ranked_value"),
-            (F.col("_offset") + F.col("_before") + 1).cast("bigint").alias(ranking.out),
+            F.col("_set").alias("_ranked_set"), *values,
+            (F.col("_offset") + F.col("_before") + 1).cast("bigint").alias("_rank"),
         )
-    )
+    )

@@ -14,6 +14,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+# Partition column of stored facts: first day of the month of ``date``.
+MONTH = "month"
+
+
 @dataclass(frozen=True)
 class Selection:
     """What the user picked. ``None`` is everything; an empty list matches nothing."""
@@ -29,6 +33,19 @@ class Selection:
         first, last = self.dates
         return F.col("date").between(F.lit(first).cast("date"), F.lit(last).cast("date"))
 
+    def on_months(self) -> Column:
+        """What ``on_dates`` implies for the month, so that partitions are pruned."""
+        if self.dates is None or len(self.dates) != 2:
+            return F.lit(True)
+        first, last = self.dates
+        return F.col(MONTH).between(F.lit(first.replace(day=1)).cast("date"), F.lit(last.replace(day=1)).cast("date"))
+
+    def restricted(self) -> set[str]:
+        """Columns that the selection restricts."""
+        dated = self.dates is not None and len(self.dates) == 2
+        chosen = {"date": dated, "platform": self.platforms is not None, "campaign_name": self.campaigns is not None}
+        return {column for column, is_chosen in chosen.items() if is_chosen}
+
     def on_platforms(self) -> Column:
         return _member("platform", self.platforms)
 
@@ -46,6 +63,9 @@ def _member(column: str, chosen: Sequence[str] | None) -> Column:
 
 
 def filter_facts(unified: DataFrame, sel: Selection) -> DataFrame:
+    """Selected rows; where facts are stored by month, only the months of the chosen dates are read."""
+    if MONTH in unified.columns:
+        unified = unified.filter(sel.on_months())
     return unified.filter(sel.on_dates() & sel.on_platforms() & sel.on_campaigns())
 
 

@@ -7,12 +7,16 @@ are never read here, so they are pruned before the scan.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spendweave.functions.kpis import mart_kpis, mean, quotient, ratio, ratio_or_zero, roas
 from spendweave.operators.ranking import Ranking, with_global_ranks
+from spendweave.operators.selection import MONTH
 from spendweave.operators.windows import with_share, with_wow
+from spendweave.sources.specs import GOOGLE, TIKTOK
 from spendweave.sources.store import materialise
 
 CAMPAIGN_KEYS = ("platform", "campaign_id", "campaign_name")
@@ -20,6 +24,10 @@ BASE_MEASURES = ("impressions", "clicks", "spend", "conversions")
 ROLLUP_MEASURES = BASE_MEASURES + ("video_views", "conversion_value", "likes", "shares", "comments")
 
 
+# Watched parts of a video, and the means of the quality analysis with their places.
+FUNNEL_STEPS = ("25", "50", "75", "100")
+QUALITY_MEANS = {"quality_score": 1, "search_impression_share": 2}
+
 _AMOUNTS = ("spend", "cost", "conversion_value")
 
 
@@ -54,25 +62,27 @@ def _row_count(df: DataFrame) -> Column:
     return F.sum("row_count") if "row_count" in df.columns else F.count(F.lit(1))
 
 
-def campaign_rollup(unified: DataFrame) -> DataFrame:
-    """Facts per campaign and day, plus one row per campaign and ad group.
+def with_month(df: DataFrame) -> DataFrame:
+    """Add the first day of the month of ``date``."""
+    return df.withColumn(MONTH, F.trunc("date", "month"))
+
 
-    Two grouping sets in one pass. A day row (``is_day``) has the sums; an ad-group
-    row has only its id and NULL sums. So sums, distinct days and distinct ad groups
-    can all be taken from the one frame, each ignoring the other kind's NULLs, with
-    a row doubled rather than tripled as for two distinct counts beside sums. Rows
-    of one campaign are combined before the shuffle however many it has.
+def campaign_rollup(unified: DataFrame, by_month: bool = False) -> DataFrame:
+    """Facts per campaign and day (``is_day``), and beside them a row per campaign and ad group.
+
+    So distinct days and distinct ad groups are plain counts of rows, and no fact row is copied for a
+    distinct count: each kind is an aggregate of its own, and the two read different columns.
+    ``by_month`` adds the month to both kinds, so that the roll-up can be kept and replaced by month;
+    an ad group then has a row per month. Rows of one campaign are combined before the shuffle.
     """
     keys = [F.col(k) for k in CAMPAIGN_KEYS]
-    rolled = unified.groupingSets(
-        [[*keys, F.col("date")], [*keys, F.col("ad_group_id")]], *keys, F.col("date"), F.col("ad_group_id")
-    ).agg(
-        (F.grouping("ad_group_id") == 1).alias("is_day"),
-        F.count(F.lit(1)).alias("row_count"),
-        *[_fine_sum(m).alias(m) for m in ROLLUP_MEASURES],
+    facts = with_month(unified) if by_month else unified
+    month = [F.col(MONTH)] if by_month else []
+    days = facts.groupBy(*month, *keys, "date").agg(
+        F.lit(True).alias("is_day"), F.count(F.lit(1)).alias("row_count"), *[_fine_sum(m).alias(m) for m in ROLLUP_MEASURES]
     )
-    on_day = {m: F.when(F.col("is_day"), F.col(m)) for m in ("row_count",) + ROLLUP_MEASURES}
-    return rolled.withColumns(on_day)
+    groups = facts.select(*month, *keys, "ad_group_id").distinct().withColumn("is_day", F.lit(False))
+    return days.unionByName(groups, allowMissingColumns=True)
 
 
 def day_rows(rollup: DataFrame) -> DataFrame:
@@ -108,7 +118,10 @@ def campaign_totals(unified: DataFrame) -> DataFrame:
 
 
 def campaign_totals_from_rollup(rollup: DataFrame) -> DataFrame:
-    """The same from a campaign roll-up, where every day and ad group is one row."""
+    """The same from a campaign roll-up, where every day is one row, and every ad group at most one per month."""
+    if MONTH in rollup.columns:
+        groups = rollup.filter("NOT is_day").select(*CAMPAIGN_KEYS, "ad_group_id").distinct()
+        rollup = day_rows(rollup).unionByName(groups, allowMissingColumns=True)
     grouped = rollup.groupBy(*CAMPAIGN_KEYS).agg(
         F.min("date").alias("first_active_date"),
         F.max("date").alias("last_active_date"),
@@ -163,12 +176,21 @@ def campaign_performance(unified: DataFrame) -> DataFrame:
     return with_ranks(campaign_totals_from_rollup(campaign_rollup(unified)))
 
 
-def platform_summary(facts: DataFrame) -> DataFrame:
-    """Per platform, with its share of all spend and of all conversions."""
-    grouped = facts.groupBy("platform").agg(
+def platform_summary(facts: DataFrame, counts: bool = True) -> DataFrame:
+    """Per platform, with its share of all spend and of all conversions.
+
+    Facts (or their campaign roll-up) are first reduced to days and to pairs of campaign and ad group,
+    so that only these are copied for the distinct counts. Without ``counts`` those columns, and the
+    second aggregate, are left out.
+    """
+    if not counts:
+        return _platform_columns(facts.groupBy("platform").agg(*_totals(*BASE_MEASURES)))
+    days = facts.groupBy("platform", "date").agg(*[_sum(m).alias(m) for m in BASE_MEASURES])
+    pairs = facts.select("platform", "campaign_id", "ad_group_id").distinct()
+    grouped = days.unionByName(pairs, allowMissingColumns=True).groupBy("platform").agg(
         F.count_distinct("campaign_id").alias("campaigns"),
         F.count_distinct("ad_group_id").alias("ad_groups"),
-        F.count_distinct("date").alias("active_days"),
+        F.count("date").alias("active_days"),
         *_totals(*BASE_MEASURES),
     )
     return _platform_columns(grouped)
@@ -210,20 +232,48 @@ def insight_marts(unified: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
 
 def video_funnel(tiktok: DataFrame) -> DataFrame:
     """Video completion by campaign name, on the raw feed; rates are over all views."""
-    steps = ("25", "50", "75", "100")
     grouped = tiktok.groupBy("campaign_name").agg(
         F.sum("video_views").alias("total_views"),
-        *[F.sum(f"video_watch_{s}").alias(f"watched_{s}pct") for s in steps],
+        *[F.sum(f"video_watch_{s}").alias(f"watched_{s}pct") for s in FUNNEL_STEPS],
     )
-    return grouped.withColumns({f"rate_{s}pct": ratio(f"watched_{s}pct", "total_views", 4) for s in steps})
+    return grouped.withColumns({f"rate_{s}pct": ratio(f"watched_{s}pct", "total_views", 4) for s in FUNNEL_STEPS})
+
+
+def funnel_rollup(facts: DataFrame) -> DataFrame:
+    """What the video funnel needs of the facts, per month and campaign name."""
+    measures = ["video_views", *[f"video_watch_{s}" for s in FUNNEL_STEPS]]
+    own = with_month(facts.filter(F.col("platform") == TIKTOK.platform))
+    return own.groupBy(MONTH, "campaign_name").agg(*[F.sum(m).alias(m) for m in measures])
+
+
+def funnel_from_rollup(rollup: DataFrame) -> DataFrame:
+    return video_funnel(rollup)
+
+
+QUALITY_SUMS = ("impressions", "clicks", "spend", "conversions", "conversion_value")
+
+
+def quality_rollup(facts: DataFrame) -> DataFrame:
+    """What the quality analysis needs of the facts, per month, campaign name and ad-group name."""
+    own = with_month(facts.filter(F.col("platform") == GOOGLE.platform))
+    means = [F.struct(F.sum(m).alias("total"), F.count(m).alias("n")).alias(m) for m in QUALITY_MEANS]
+    return own.groupBy(MONTH, "campaign_name", "ad_group_name").agg(*[_sum(m).alias(m) for m in QUALITY_SUMS], *means)
+
+
+def quality_from_rollup(rollup: DataFrame) -> DataFrame:
+    return _quality(rollup, "spend", lambda m, places: ratio(f"SUM({m}.total)", f"SUM({m}.n)", places))
 
 
 def quality_analysis(google: DataFrame) -> DataFrame:
     """Quality score against performance by campaign and ad-group name, on the raw feed."""
-    grouped = google.groupBy("campaign_name", "ad_group_name").agg(
-        mean("quality_score", 1).alias("avg_quality_score"),
-        *_totals("impressions", "clicks", "cost", "conversions", "conversion_value"),
-        mean("search_impression_share", 2).alias("avg_search_impression_share"),
+    return _quality(google, "cost", mean)
+
+
+def _quality(rows: DataFrame, cost: str, averaged: Callable[[str, int], Column]) -> DataFrame:
+    grouped = rows.groupBy("campaign_name", "ad_group_name").agg(
+        *[averaged(m, places).alias(f"avg_{m}") for m, places in QUALITY_MEANS.items()],
+        *_totals("impressions", "clicks", "conversions", "conversion_value"),
+        _sum(cost).alias("total_cost"),
     )
     kpis = mart_kpis("total_impressions", "total_clicks", "total_cost", "total_conversions")
     chosen = {k: kpis[k] for k in ("avg_ctr", "avg_cpc", "avg_cpa")}
@@ -244,7 +294,7 @@ def quality_analysis(google: DataFrame) -> DataFrame:
 
 def kpi_totals(filtered: DataFrame) -> DataFrame:
     """One row of totals and unrounded indicators; 0 where nothing can be divided."""
-    totals = filtered.agg(*[F.coalesce(F.sum(m), F.lit(0)).alias(f"total_{m}") for m in BASE_MEASURES])
+    totals = filtered.agg(*[F.coalesce(_sum(m), F.lit(0)).alias(f"total_{m}") for m in BASE_MEASURES])
     return totals.withColumns(
         {
             "avg_cpa": ratio_or_zero("total_spend", "total_conversions"),

@@ -18,13 +18,13 @@ from spendweave.operators.selection import (
     Selection,
     filter_campaigns,
     filter_daily,
-    filter_facts,
     filter_platform,
     is_empty,
 )
 from spendweave.operators.windows import normalise_to_max, percent_of_first, with_share
 from spendweave.plans import insights
 from spendweave.plans.marts import funnel_totals, kpi_totals, platform_totals
+from spendweave.plans.navigation import delivery
 from spendweave.sources.specs import GOOGLE, TIKTOK
 
 Format = Callable[[str], str]
@@ -198,12 +198,12 @@ def panel_spend_conv_points(camp_f: DataFrame) -> DataFrame:
 def dashboard(unified: DataFrame, marts: dict[str, DataFrame], sel: Selection) -> dict[str, DataFrame]:
     """All panels of a selection by name; none where the selection is empty.
 
-    ``marts`` are the published ones (see ``publish_marts``), so a panel reads a few
-    rows and only the cards and platform totals scan facts, behind pushed filters; or
-    the views of the session (see ``register_views``). Findings and recommendations
-    are those of the selected platforms and campaigns.
+    ``marts`` are the published ones (see ``publish_marts``): then no panel reads facts, and
+    cards and platform totals come from the smallest table that the selection allows; or
+    the views of the session (see ``register_views``), where those read ``unified`` behind pushed
+    filters. Findings and recommendations are those of the selected platforms and campaigns.
     """
-    filtered = filter_facts(unified, sel)
+    filtered = delivery({**marts, "unified_ads": unified}, sel)
     if is_empty(filtered):
         return {}
     daily_f = filter_daily(marts["daily_platform_summary"], sel)

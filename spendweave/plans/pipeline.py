@@ -1,9 +1,20 @@
-"""The batch job: raw feeds -> facts -> marts, each published as a table."""
+"""The batch job: raw feeds -> facts -> roll-ups -> marts, published as one version.
+
+Facts are partitioned by month and platform and sorted by date, so that a date range prunes folders
+and, within them, row groups. What the marts need of the facts is kept as three roll-ups by month; a
+refresh of some days rewrites the months that they touch, and takes all marts from the merged roll-ups.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from datetime import date
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from spendweave.operators.selection import MONTH, Selection, filter_facts
 from spendweave.operators.unify import unified_ads
 from spendweave.plans.marts import (
     campaign_performance,
@@ -11,13 +22,31 @@ from spendweave.plans.marts import (
     campaign_totals_from_rollup,
     daily_platform_summary,
     day_rows,
+    funnel_from_rollup,
+    funnel_rollup,
     platform_summary,
     quality_analysis,
+    quality_from_rollup,
+    quality_rollup,
     video_funnel,
     weekly_trends,
+    with_month,
     with_ranks,
 )
-from spendweave.sources.store import materialise, publish
+from spendweave.sources import versions
+from spendweave.sources.specs import UNIFIED_COLUMNS
+from spendweave.sources.store import materialise
+
+# The tables of a published version besides the roll-ups.
+MARTS = (
+    "daily_platform_summary", "campaign_performance", "platform_summary", "weekly_trends", "tiktok_video_funnel",
+    "google_quality_analysis",
+)
+ROLLUPS: dict[str, Callable[[DataFrame], DataFrame]] = {
+    "campaign_rollup": lambda facts: campaign_rollup(facts, by_month=True),
+    "funnel_rollup": funnel_rollup,
+    "quality_rollup": quality_rollup,
+}
 
 
 def marts_from_rollup(rollup: DataFrame) -> dict[str, DataFrame]:
@@ -32,26 +61,84 @@ def marts_from_rollup(rollup: DataFrame) -> dict[str, DataFrame]:
 
 
 def stored_rollup(unified: DataFrame) -> DataFrame:
-    """Scan the facts once and keep their campaign roll-up as a scratch table."""
+    """Keep the campaign roll-up of the facts as a scratch table."""
     rollup, _ = materialise(campaign_rollup(unified), "campaign-rollup")
     return rollup
 
 
-def publish_marts(
-    facebook: DataFrame, google: DataFrame, tiktok: DataFrame, folder: str
-) -> dict[str, DataFrame]:
-    """Write facts and marts below ``folder``; return them as read back.
+def clustered(unified: DataFrame) -> DataFrame:
+    """Facts with their month, dealt out so that a month's rows of a platform lie together, sorted by date.
 
-    Facts are partitioned by platform, so a platform filter prunes files. The unified
-    marts all come from one pass over the facts.
+    Adaptive execution splits a month that is large and puts small ones together, so files are of
+    one size whatever the months are; each file is sorted, so its row groups have narrow date ranges.
     """
-    facts = publish(unified_ads(facebook, google, tiktok), f"{folder}/unified_ads", ["platform"])
-    marts = marts_from_rollup(stored_rollup(facts))
+    return with_month(unified).hint("rebalance", MONTH, "platform").sortWithinPartitions(MONTH, "platform", "date")
+
+
+def _at_once(jobs: dict[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
+    """Small jobs that do not depend on each other, submitted together."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        return dict(zip(jobs, pool.map(lambda job: job(), jobs.values())))
+
+
+def _publish(draft: versions.Draft, facts: DataFrame, keep: Callable[[str], bool] | None) -> versions.Version:
+    stored = draft.write("unified_ads", clustered(facts), [MONTH, "platform"], keep)
+    _at_once({
+        name: lambda name=name, build=build: draft.write(name, build(stored), [MONTH], keep) for name, build in ROLLUPS.items()
+    })
+    marts = marts_from_rollup(draft.read("campaign_rollup"))
     marts["campaign_performance"] = with_ranks(marts.pop("campaign_totals"))
-    marts["tiktok_video_funnel"] = video_funnel(tiktok)
-    marts["google_quality_analysis"] = quality_analysis(google)
-    published = {name: publish(df, f"{folder}/{name}") for name, df in marts.items()}
-    return {"unified_ads": facts, **published}
+    marts["tiktok_video_funnel"] = funnel_from_rollup(draft.read("funnel_rollup"))
+    marts["google_quality_analysis"] = quality_from_rollup(draft.read("quality_rollup"))
+    _at_once({name: lambda name=name, df=df: draft.write(name, df) for name, df in marts.items()})
+    return draft.commit()
+
+
+def _tables(version: versions.Version) -> dict[str, DataFrame]:
+    facts = version.read("unified_ads").select(*UNIFIED_COLUMNS)
+    return {"unified_ads": facts, **{name: version.read(name) for name in (*MARTS, *ROLLUPS)}}
+
+
+def publish_marts(facebook: DataFrame, google: DataFrame, tiktok: DataFrame, folder: str) -> dict[str, DataFrame]:
+    """Publish facts, roll-ups and marts below ``folder`` as a new version; return it as read back.
+
+    Until the last step readers have the version before, also if this run fails on its way.
+    """
+    draft = versions.draft(facebook.sparkSession, folder)
+    return _tables(_publish(draft, unified_ads(facebook, google, tiktok), None))
+
+
+def refresh_marts(
+    facebook: DataFrame, google: DataFrame, tiktok: DataFrame, folder: str, days: Sequence[date]
+) -> dict[str, DataFrame]:
+    """Publish a version in which the rows of ``days`` are those of the feeds, and all others are as before.
+
+    Of the feeds only those days are read; of the stored facts, the months that they lie in. All other
+    months keep their files. A day without rows in the feeds ends up without rows.
+    """
+    spark = facebook.sparkSession
+    draft = versions.draft(spark, folder)
+    if draft.base is None:
+        raise FileNotFoundError(f"nothing is published in {folder} yet")
+    if not days:
+        return _tables(draft.base)
+    months = sorted({day.replace(day=1) for day in days})
+    touched = {f"{MONTH}={month.isoformat()}" for month in months}
+    changed = F.col("date").isin(list(days))
+    before = draft.base.read("unified_ads").where(F.col(MONTH).isin(months) & ~changed)
+    after = unified_ads(facebook, google, tiktok).where(changed)
+    facts = before.select(*UNIFIED_COLUMNS).unionByName(after)
+    return _tables(_publish(draft, facts, lambda part: not touched & set(part.split("/"))))
+
+
+def read_marts(spark: SparkSession, folder: str, number: int | None = None) -> dict[str, DataFrame]:
+    """All tables of one published version, by default the current one, resolved once."""
+    return _tables(versions.version(spark, folder, number))
+
+
+def read_facts(spark: SparkSession, folder: str, sel: Selection, number: int | None = None) -> DataFrame:
+    """The selected facts of a published version. Dates prune months, platforms their folders."""
+    return filter_facts(versions.version(spark, folder, number).read("unified_ads"), sel).select(*UNIFIED_COLUMNS)
 
 
 def register_views(facebook: DataFrame, google: DataFrame, tiktok: DataFrame) -> dict[str, DataFrame]:

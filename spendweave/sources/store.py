@@ -6,13 +6,12 @@ import tempfile
 import uuid
 from collections.abc import Sequence
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from spendweave.sources.specs import Field, SourceSpec
-
-# Cells that mean NULL in a raw feed (fixed values).
-NULL_TOKENS = ("", "NULL", "null")
+from spendweave.sources.badrows import BadRow, first_bad_cell
+from spendweave.sources.specs import NULL_TOKENS, Field, SourceSpec
 
 
 def _typed(f: Field) -> Column:
@@ -65,9 +64,16 @@ def load_raw(
     """Replace the raw table at ``target`` by the CSV files at ``source``.
 
     Every cell is checked, because every column is written. Loading twice gives the
-    same table. ``multi_line`` is as for ``read_raw``.
+    same table. ``multi_line`` is as for ``read_raw``. A load that stops at a bad row raises ``BadRow``, which
+    tells its file, line and cell; it is looked for only then, and not where lines are not rows.
     """
-    return publish(read_raw(spark, source, spec, multi_line), target)
+    try:
+        return publish(read_raw(spark, source, spec, multi_line), target)
+    except PySparkException as error:
+        place = None if multi_line else first_bad_cell(spark, source, spec)
+        if place is None:
+            raise
+        raise BadRow(place) from error
 
 
 def publish(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:

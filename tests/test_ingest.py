@@ -5,6 +5,7 @@ import pytest
 
 from spendweave.plans.audit import length_violations, row_counts
 from spendweave.sources.specs import FACEBOOK, GOOGLE, TIKTOK
+from spendweave.sources.badrows import BadRow, bad_cells, first_bad_cell
 from spendweave.sources.store import drop_scratch, get_view, load_raw, materialise, publish, read_raw, scratch_folder
 
 HEADER = ",".join(FACEBOOK.columns)
@@ -65,6 +66,68 @@ def test_bad_row_fails_the_load(spark, tmp_path, line):
         load_raw(spark, source, str(tmp_path / "table"), FACEBOOK)
 
 
+def _bad_lines(tmp_path):
+    folder = tmp_path / "many"
+    folder.mkdir()
+    good = [GOOD.replace("fb_1", f"fb_{k}") for k in range(3000)]
+    wrong = {
+        ("a.csv", 1205): (GOOD.replace(",100,", ", none ,"), "impressions", "none", "not a bigint"),
+        ("a.csv", 2900): (GOOD.rsplit(",", 3)[0], "", GOOD.rsplit(",", 3)[0], "not 13 cells"),
+        ("b.csv", 7): (GOOD.replace("2024-01-01", "2024-13-01"), "date", "2024-13-01", "not a date"),
+        ("b.csv", 3000): (GOOD.replace("fb_1", "x" * 51), "campaign_id", "x" * 51, "longer than 50"),
+    }
+    for name in ("a.csv", "b.csv", "c.csv"):
+        lines = [HEADER, *good]
+        lines.insert(40, "")  # blank lines count as lines and are no rows
+        for (file, line), (text, *_) in wrong.items():
+            if file == name:
+                lines[line - 1] = text
+        (folder / name).write_text("\n".join(lines) + "\n")
+    return str(folder), [(file, line, *told) for (file, line), (_, *told) in wrong.items()]
+
+
+@pytest.mark.parametrize("block", ["128m", "20k"])
+def test_bad_cells_are_told_by_file_line_and_cell(spark, tmp_path, block):
+    source, want = _bad_lines(tmp_path)
+    keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = [spark.conf.get(k) for k in keys]
+    try:
+        for k in keys:
+            spark.conf.set(k, block)
+        found = bad_cells(spark, source, FACEBOOK).collect()
+        assert sorted((r.file.rsplit("/", 1)[1], r.line, r.column, r.cell.strip(), r.problem) for r in found) == want
+        with pytest.raises(BadRow) as stopped:
+            load_raw(spark, source, str(tmp_path / "table"), FACEBOOK)
+    finally:
+        for k, v in zip(keys, before):
+            spark.conf.set(k, v)
+    bad = stopped.value
+    assert (bad.file.rsplit("/", 1)[1], bad.line, bad.column, bad.cell.strip(), bad.problem) == want[0]
+    assert "a.csv, line 1205, impressions" in str(bad)
+
+
+def test_a_good_feed_has_no_bad_cells(spark, tmp_path):
+    source = _write(tmp_path, GOOD, GOOD.replace("100", " NULL "))
+    assert first_bad_cell(spark, source, FACEBOOK) is None and bad_cells(spark, source, FACEBOOK).isEmpty()
+
+
+def test_one_task_reads_each_file_with_line_breaks(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for k in range(6):
+        _write(folder, *[GOOD.replace("Brand", '"two\nlines"')] * 2000, name=f"{k}.csv")
+    keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = [spark.conf.get(k) for k in keys]
+    try:
+        for k in keys:
+            spark.conf.set(k, "20k")  # a tenth of a file
+        whole = read_raw(spark, str(folder), FACEBOOK, multi_line=True)
+        assert whole.rdd.getNumPartitions() == 6 and whole.count() == 12_000
+    finally:
+        for k, v in zip(keys, before):
+            spark.conf.set(k, v)
+
+
 def test_short_row_fails_even_if_few_columns_are_read(spark, tmp_path):
     with pytest.raises(Exception):
         _read(spark, tmp_path, GOOD, GOOD.rsplit(",", 3)[0]).select("campaign_id").collect()

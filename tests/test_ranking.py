@@ -74,12 +74,13 @@ def test_several_ranges(spark):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
 
 
-def test_scans_grow_with_the_number_of_rankings_at_most(spark):
+def test_rows_are_joined_back_once_for_any_number_of_rankings(spark):
     df = spark.range(500).withColumn("v", F.col("id") % 40)
     for n in (1, 2, 3):
         ranked = with_global_ranks(df, [Ranking(f"r{i}", F.col("v") + i) for i in range(n)])
         text = ranked._jdf.queryExecution().optimizedPlan().toString()
-        assert text.count("Relation") == 1 + 2 * n  # the rows once; ranges and their totals for each
+        assert text.count("Relation") == 4  # the rows, their values alone, ranges and totals of ranges
+        assert text.count("Join") == 3  # of ranges with their totals, of values with ranks, and of rows with ranks
 
 
 def test_a_value_of_a_third_of_all_rows_is_split(spark):

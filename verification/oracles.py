@@ -482,6 +482,21 @@ FACEBOOK_LOADED = _loaded(
         f"{big('reach', 'reach')}, {dbl('frequency', 'frequency')}",
     )
 
+PUBLISHED_COUNTS = with_(
+    counted(
+        {
+            "unified_ads": "facts",
+            "daily_platform_summary": "daily",
+            "campaign_performance": "campaigns",
+            "platform_summary": "platforms",
+            "weekly_trends": "weekly",
+            "tiktok_video_funnel": "funnel",
+            "google_quality_analysis": "quality",
+        }
+    ),
+    DAILY, CAMPAIGNS, PLATFORMS, WEEKLY, FUNNEL, QUALITY,
+)
+
 ORACLES: dict[str, str] = {
     "load_raw_facebook": FACEBOOK_LOADED,
     "load_raw_google": _loaded(
@@ -503,20 +518,8 @@ ORACLES: dict[str, str] = {
     "unify_conform_tiktok": conformed("TikTok"),
     "unified_ads": UNIFIED_ROWS,
     "unified_row_kpis": UNIFIED_ROWS,
-    "published_row_counts": with_(
-        counted(
-            {
-                "unified_ads": "facts",
-                "daily_platform_summary": "daily",
-                "campaign_performance": "campaigns",
-                "platform_summary": "platforms",
-                "weekly_trends": "weekly",
-                "tiktok_video_funnel": "funnel",
-                "google_quality_analysis": "quality",
-            }
-        ),
-        DAILY, CAMPAIGNS, PLATFORMS, WEEKLY, FUNNEL, QUALITY,
-    ),
+    "published_row_counts": PUBLISHED_COUNTS,
+    "stored_row_counts": PUBLISHED_COUNTS,
     "raw_row_counts": with_(
         counted(
             {
@@ -632,6 +635,15 @@ ORACLES: dict[str, str] = {
     "published_weekly": with_("SELECT * FROM weekly", WEEKLY),
     "published_funnel": with_("SELECT * FROM funnel", FUNNEL),
     "published_quality": with_("SELECT * FROM quality", QUALITY),
+    "refreshed_facts": UNIFIED_ROWS,
+    "refreshed_campaigns": with_("SELECT * FROM campaigns", CAMPAIGNS),
+    "refreshed_quality": with_("SELECT * FROM quality", QUALITY),
+    "stored_facts": unified_rows(CHOSEN),
+    "dashboard_cards": kpi_totals(f"WHERE {CHOSEN}"),
+    "dashboard_spend_share": with_(
+        f"SELECT platform, {dbl('SUM(spend)', 'total_spend')}, "
+        f"{half_up('SUM(spend)', 'SUM(SUM(spend)) OVER ()', 4, 100)} AS spend_share FROM facts WHERE {CHOSEN_PLATFORMS} GROUP BY platform"
+    ),
     "reload_twice": FACEBOOK_LOADED,
     "load_dialect": f"""
 SELECT * REPLACE (campaign_name || chr(10) || '"second", line' AS campaign_name,
@@ -653,6 +665,25 @@ SELECT * REPLACE (campaign_name || chr(10) || '"second", line' AS campaign_name,
     "ordered_platforms": ordered("platforms", "total_spend DESC, platform", PLATFORMS),
     "ordered_weekly": ordered("weekly", "week_start, platform", WEEKLY),
     "ordered_funnel": ordered("funnel", "total_views DESC NULLS LAST, campaign_name", FUNNEL),
+    "stored_date_bounds": with_("SELECT MIN(date) AS min_date, MAX(date) AS max_date FROM facts"),
+    "bad_cells": with_(
+        "SELECT 'GOOGLE_ADS' AS table_name, * FROM ("
+        "SELECT 'clicks' AS column, 'none' AS cell, 'not a bigint' AS problem, COUNT(*) AS n, COUNT(*) AS n_lines "
+        "FROM facts WHERE platform = 'Google' AND clicks = 0 HAVING COUNT(*) > 0 UNION ALL "
+        "SELECT 'date', 'soon', 'not a date', COUNT(*), COUNT(*) "
+        "FROM facts WHERE platform = 'Google' AND conversions = 5 HAVING COUNT(*) > 0)"
+    ),
+    "ordered_panel_conversions": with_(
+        f"SELECT platform, {big('SUM(conversions)', 'total_conversions')}, "
+        "ROW_NUMBER() OVER (ORDER BY SUM(conversions), platform) AS position FROM facts GROUP BY platform"
+    ),
+    "ordered_panel_cpm": with_(
+        "SELECT platform, avg_cpm, ROW_NUMBER() OVER (ORDER BY avg_cpm NULLS LAST, platform) AS position FROM platforms", PLATFORMS
+    ),
+    "ordered_panel_cpa": with_(
+        "SELECT platform, campaign_name, avg_cpa, "
+        "ROW_NUMBER() OVER (ORDER BY avg_cpa NULLS LAST, platform, campaign_id, campaign_name) AS position FROM campaigns", CAMPAIGNS
+    ),
     "ordered_quality": ordered("quality", "avg_quality_score DESC NULLS LAST, campaign_name, ad_group_name", QUALITY),
     "kpi_cards_text": f"""
 SELECT {money('total_spend')} AS total_spend, {whole('total_conversions')} AS total_conversions, {money('avg_cpa')} AS avg_cpa,

@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
 from uuid import uuid4
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,6 +21,7 @@ from spendweave.operators import selection as sel
 from spendweave.operators.unify import conform, unified_ads
 from spendweave.operators.windows import latest_week
 from spendweave.plans import audit, insights, marts, panels, pipeline
+from spendweave.sources import badrows
 from spendweave.sources.landing import landing_facts, raw_feeds
 from spendweave.sources.specs import FACEBOOK, GOOGLE, SPECS, TIKTOK
 from spendweave.sources.store import get_view, load_raw, scratch_folder
@@ -76,25 +78,18 @@ def _findings(rules: list[int], build: Callable[[DataFrame], DataFrame], on=_on_
 
 
 def _platform_findings(u: DataFrame) -> DataFrame:
-    return insights.platform_findings(marts.platform_summary(u))
-
-
-def _numbered(ordered_rows: DataFrame, *columns: str) -> DataFrame:
-    """Rows of a sorted frame with their position in it, which the ids of its partitions follow."""
-    placed = ordered_rows.withColumn("_id", F.monotonically_increasing_id())
-    position = F.row_number().over(Window.orderBy("_id")).cast("bigint").alias("position")
-    return placed.select(*columns, position)
+    return insights.platform_findings(marts.platform_summary(u, counts=False))
 
 
 def _all_findings(u: DataFrame) -> DataFrame:
     findings = insights.executive_insights(*marts.insight_marts(u))
-    return _numbered(insights.ordered_insights(findings), *EVIDENCE)
+    return pick.numbered(insights.ordered_insights(findings), *EVIDENCE)
 
 
 def _recommendations(u: DataFrame) -> DataFrame:
     platforms, campaigns, _ = marts.insight_marts(u)
     recs = insights.budget_recommendations(platforms, campaigns).orderBy("rec_order")
-    return _numbered(recs, "rec_order", "kind", "subject", "text", "value")
+    return pick.numbered(recs, "rec_order", "kind", "subject", "text", "value")
 
 
 def _selected(u: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -135,7 +130,7 @@ def _empty_selection(u: DataFrame) -> DataFrame:
 def _ordered(mart: str, build: Callable[[DataFrame], DataFrame], on) -> Query:
     """The mart's keys with their place in its output order."""
     keys = [c for c, _ in pick.MART_ORDER[mart]]
-    return on(lambda df: _numbered(pick.ordered(build(df), mart), *keys))
+    return on(lambda df: pick.numbered(pick.ordered(build(df), mart), *keys))
 
 
 def _view_counts(u: DataFrame) -> DataFrame:
@@ -191,6 +186,22 @@ def _bad_row_report(spark: SparkSession, folder: str) -> DataFrame:
     return spark.createDataFrame(out, "table_name string, stopped bigint")
 
 
+def _bad_cells(spark: SparkSession, folder: str) -> DataFrame:
+    """Bad cells of the three feeds by column and kind; words for some clicks and a far date for some rows of Google's."""
+    base, found = f"{scratch_folder(spark)}/bad-{uuid4().hex}", []
+    for spec, raw in zip(SPECS, raw_feeds(spark, folder)):
+        cells = raw.select(*[F.col(c).cast("string").alias(c) for c in raw.columns])
+        if spec is GOOGLE:
+            cells = cells.withColumns({
+                "clicks": F.when(F.col("clicks") == "0", "none").otherwise(F.col("clicks")),
+                "date": F.when(F.col("conversions") == "5", "soon").otherwise(F.col("date")),
+            })
+        cells.write.option("header", True).csv(f"{base}/{spec.table}")
+        bad = badrows.bad_cells(spark, f"{base}/{spec.table}", spec)
+        found.append(bad.groupBy("column", "cell", "problem").agg(F.count("*").alias("n"), F.count("line").alias("n_lines")).withColumn("table_name", F.lit(spec.table)))
+    return reduce(DataFrame.unionByName, found)
+
+
 def _published(name: str) -> Query:
     """What a mart's table holds after publishing."""
 
@@ -215,7 +226,36 @@ def _csv_load(index: int) -> Query:
 
 def _published_counts(*feeds: DataFrame) -> DataFrame:
     folder = f"{scratch_folder(feeds[0].sparkSession)}/marts-{uuid4().hex}"
-    return audit.row_counts(pipeline.publish_marts(*feeds, folder))
+    tables = pipeline.publish_marts(*feeds, folder)
+    return audit.row_counts({name: tables[name] for name in ("unified_ads", *pipeline.MARTS)})
+
+
+def _published_then(build: Callable[[SparkSession, str, dict[str, DataFrame]], DataFrame]) -> Query:
+    """A result that is read from a published version."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        target = f"{scratch_folder(spark)}/marts-{uuid4().hex}"
+        return plain(build(spark, target, pipeline.publish_marts(*raw_feeds(spark, folder), target)))
+
+    return query
+
+
+# days that the refresh query replaces
+REFRESHED = [date(1995, 5, 3), date(1995, 5, 4), date(1998, 11, 30)]
+
+
+def _refreshed(name: str) -> Query:
+    """A published table whose days in REFRESHED were wrong at first and were then replaced."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        target = f"{scratch_folder(spark)}/marts-{uuid4().hex}"
+        feeds = raw_feeds(spark, folder)
+        changed = F.col("date").isin(REFRESHED)
+        wrong = [raw.where(~changed | (F.col("clicks") % 2 == 0)).withColumn("clicks", F.when(changed, F.lit(1)).otherwise(F.col("clicks")).cast("bigint")) for raw in feeds]
+        pipeline.publish_marts(*wrong, target)
+        return plain(pipeline.refresh_marts(*feeds, target, REFRESHED)[name])
+
+    return query
 
 
 QUERIES: dict[str, Query] = {
@@ -237,9 +277,20 @@ QUERIES: dict[str, Query] = {
     "published_weekly": _published("weekly_trends"),
     "published_funnel": _published("tiktok_video_funnel"),
     "published_quality": _published("google_quality_analysis"),
+    "refreshed_facts": _refreshed("unified_ads"),
+    "refreshed_campaigns": _refreshed("campaign_performance"),
+    "refreshed_quality": _refreshed("google_quality_analysis"),
+    "stored_facts": _published_then(lambda spark, target, _: pipeline.read_facts(spark, target, CHOSEN)),
+    "dashboard_cards": _published_then(lambda spark, target, marts: panels.dashboard(marts["unified_ads"], marts, CHOSEN)["kpi_cards"]),
+    "dashboard_spend_share": _published_then(
+        lambda spark, target, marts: panels.dashboard(marts["unified_ads"], marts, sel.Selection(platforms=CHOSEN.platforms))["spend_share"]
+    ),
     "reload_twice": _reload_twice,
     "load_dialect": _load_dialect,
     "bad_row_report": _bad_row_report,
+    "bad_cells": _bad_cells,
+    "stored_row_counts": _published_then(lambda spark, target, _: audit.stored_row_counts(spark, target)),
+    "stored_date_bounds": _published_then(lambda spark, target, _: audit.stored_date_bounds(spark, target)),
     "view_read": _view_read,
     "view_read_daily": _view_read_daily,
     "empty_selection": _on_facts(_empty_selection),
@@ -250,9 +301,16 @@ QUERIES: dict[str, Query] = {
     "ordered_weekly": _ordered("weekly_trends", marts.weekly_trends, _on_delivery),
     "ordered_funnel": _ordered("video_funnel", marts.video_funnel, lambda b: _on_feed(2, b)),
     "ordered_quality": _ordered("quality_analysis", marts.quality_analysis, lambda b: _on_feed(1, b)),
+    "ordered_panel_conversions": _on_delivery(lambda u: pick.numbered(panels.panel_conversions(u), "platform", "total_conversions")),
+    "ordered_panel_cpm": _on_delivery(
+        lambda u: pick.numbered(panels.panel_cpm(marts.platform_summary(u, counts=False)), "platform", "avg_cpm")
+    ),
+    "ordered_panel_cpa": _on_facts(
+        lambda u: pick.numbered(panels.panel_cpa_by_campaign(marts.campaign_totals(u)), "platform", "campaign_name", "avg_cpa")
+    ),
     # marts
     "daily_platform_summary": _on_delivery(_daily),
-    "campaign_totals": _on_facts(marts.campaign_totals),
+    "campaign_totals": _on_facts(lambda u: marts.campaign_totals_from_rollup(marts.campaign_rollup(u))),
     "campaign_performance": _on_facts(marts.campaign_performance),
     "campaign_ranks_counted": _on_facts(
         lambda u: marts.with_ranks(marts.campaign_totals(u)).select(
@@ -295,9 +353,9 @@ QUERIES: dict[str, Query] = {
     "panel_conversions": _on_delivery(panels.panel_conversions),
     "panel_daily_conversions": _on_delivery(lambda u: panels.panel_daily_conversions(_daily(u))),
     "panel_platform_table": _on_facts(lambda u: panels.panel_platform_table(marts.platform_summary(u))),
-    "panel_radar": _on_delivery(lambda u: panels.panel_radar(marts.platform_summary(u))),
+    "panel_radar": _on_delivery(lambda u: panels.panel_radar(marts.platform_summary(u, counts=False))),
     "panel_daily_cpa": _on_delivery(lambda u: panels.panel_daily_cpa(_daily(u))),
-    "panel_cpm": _on_delivery(lambda u: panels.panel_cpm(marts.platform_summary(u))),
+    "panel_cpm": _on_delivery(lambda u: panels.panel_cpm(marts.platform_summary(u, counts=False))),
     "panel_weekly_spend": _on_delivery(lambda u: panels.panel_weekly_spend(marts.weekly_trends(u))),
     "panel_funnel_stages": _on_feed(
         2, lambda raw: panels.panel_funnel_stages(marts.video_funnel(raw), EVERYTHING)
