@@ -1,8 +1,9 @@
 """The batch job: raw feeds -> facts -> roll-ups -> marts, published as one version.
 
-Facts are partitioned by month and platform and sorted by date, so that a date range prunes folders
-and, within them, row groups. What the marts need of the facts is kept as three roll-ups by month; a
-refresh of some days rewrites the months that they touch, and takes all marts from the merged roll-ups.
+Facts are partitioned by month and sorted by date within platform, so that a date range prunes folders
+and, like a platform, row groups within them. What the marts need of the facts is kept as three roll-ups
+with a row per month and more; being small, they are partitioned by year. A refresh of some days rewrites
+the months that they touch, merges their roll-up rows with those of all other months, and takes the marts from that.
 """
 
 from __future__ import annotations
@@ -42,6 +43,7 @@ MARTS = (
     "daily_platform_summary", "campaign_performance", "platform_summary", "weekly_trends", "tiktok_video_funnel",
     "google_quality_analysis",
 )
+YEAR = "year"
 ROLLUPS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "campaign_rollup": lambda facts: campaign_rollup(facts, by_month=True),
     "funnel_rollup": funnel_rollup,
@@ -67,12 +69,12 @@ def stored_rollup(unified: DataFrame) -> DataFrame:
 
 
 def clustered(unified: DataFrame) -> DataFrame:
-    """Facts with their month, dealt out so that a month's rows of a platform lie together, sorted by date.
+    """Facts with their month, dealt out so that a month's rows lie together, sorted by date within platform.
 
-    Adaptive execution splits a month that is large and puts small ones together, so files are of
-    one size whatever the months are; each file is sorted, so its row groups have narrow date ranges.
+    Adaptive execution splits a month that is large and puts small ones together, so files are of one
+    size whatever the months are; each file is sorted, so its row groups hold one platform and few days.
     """
-    return with_month(unified).hint("rebalance", MONTH, "platform").sortWithinPartitions(MONTH, "platform", "date")
+    return with_month(unified).hint("rebalance", MONTH).sortWithinPartitions(MONTH, "platform", "date")
 
 
 def _at_once(jobs: dict[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
@@ -81,11 +83,26 @@ def _at_once(jobs: dict[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
         return dict(zip(jobs, pool.map(lambda job: job(), jobs.values())))
 
 
-def _publish(draft: versions.Draft, facts: DataFrame, keep: Callable[[str], bool] | None) -> versions.Version:
-    stored = draft.write("unified_ads", clustered(facts), [MONTH, "platform"], keep)
-    _at_once({
-        name: lambda name=name, build=build: draft.write(name, build(stored), [MONTH], keep) for name, build in ROLLUPS.items()
-    })
+def _other(column: str, values: Sequence[object]) -> Callable[[str], bool]:
+    """Whether a part is of none of these values of its partition column."""
+    touched = {f"{column}={value}" for value in values}
+    return lambda part: not touched & set(part.split("/"))
+
+
+def _publish(draft: versions.Draft, facts: DataFrame, months: Sequence[date] | None) -> versions.Version:
+    """Publish the facts, all of them or those of some ``months`` that replace what the base has of these."""
+    stored = draft.write("unified_ads", clustered(facts), [MONTH], _other(MONTH, months) if months else None)
+    years = sorted({month.year for month in months or ()})
+
+    def roll_up(name: str) -> DataFrame:
+        rows = ROLLUPS[name](stored).withColumn(YEAR, F.year(MONTH))
+        if months:
+            before = draft.base.read(name).where(F.col(YEAR).isin(years) & ~F.col(MONTH).isin(list(months)))
+            rows = rows.unionByName(before)
+        # dealt by year and month, so that a year is few files
+        return draft.write(name, rows.hint("rebalance", YEAR, MONTH), [YEAR], _other(YEAR, years) if months else None)
+
+    _at_once({name: lambda name=name: roll_up(name) for name in ROLLUPS})
     marts = marts_from_rollup(draft.read("campaign_rollup"))
     marts["campaign_performance"] = with_ranks(marts.pop("campaign_totals"))
     marts["tiktok_video_funnel"] = funnel_from_rollup(draft.read("funnel_rollup"))
@@ -123,12 +140,11 @@ def refresh_marts(
     if not days:
         return _tables(draft.base)
     months = sorted({day.replace(day=1) for day in days})
-    touched = {f"{MONTH}={month.isoformat()}" for month in months}
     changed = F.col("date").isin(list(days))
     before = draft.base.read("unified_ads").where(F.col(MONTH).isin(months) & ~changed)
     after = unified_ads(facebook, google, tiktok).where(changed)
     facts = before.select(*UNIFIED_COLUMNS).unionByName(after)
-    return _tables(_publish(draft, facts, lambda part: not touched & set(part.split("/"))))
+    return _tables(_publish(draft, facts, months))
 
 
 def read_marts(spark: SparkSession, folder: str, number: int | None = None) -> dict[str, DataFrame]:
@@ -137,7 +153,7 @@ def read_marts(spark: SparkSession, folder: str, number: int | None = None) -> d
 
 
 def read_facts(spark: SparkSession, folder: str, sel: Selection, number: int | None = None) -> DataFrame:
-    """The selected facts of a published version. Dates prune months, platforms their folders."""
+    """The selected facts of a published version. Dates prune months; dates and platforms prune row groups."""
     return filter_facts(versions.version(spark, folder, number).read("unified_ads"), sel).select(*UNIFIED_COLUMNS)
 
 

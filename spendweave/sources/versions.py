@@ -24,11 +24,18 @@ MANIFESTS = "versions"
 
 @dataclass(frozen=True)
 class Table:
-    """What a manifest says of a table: its schema, partition columns, and parts below the table's folder."""
+    """What a manifest says of a table: its schema, partition columns, and parts below the table's folder.
+
+    ``whole`` has the runs all of whose parts are among them, which are read as one folder.
+    """
 
     schema: T.StructType
     by: tuple[str, ...]
     parts: tuple[str, ...]
+    whole: tuple[str, ...] = ()
+
+    def folders(self) -> list[str]:
+        return [*self.whole, *[p for p in self.parts if p.split("/")[0] not in self.whole]]
 
 
 @dataclass(frozen=True)
@@ -40,15 +47,15 @@ class Version:
     number: int
     tables: dict[str, Table]
 
-    def read(self, name: str, parts: Sequence[str] | None = None) -> DataFrame:
-        """A table, or some of its parts, with its partition columns, by which Spark prunes files."""
+    def read(self, name: str, run: str | None = None) -> DataFrame:
+        """A table, or what one run wrote of it, with its partition columns, by which Spark prunes files."""
         table = self.tables[name]
-        parts = table.parts if parts is None else parts
-        if not parts:
+        folders = [run] if run else table.folders()
+        if not table.parts or run and not any(p.split("/")[0] == run for p in table.parts):
             return self.spark.createDataFrame([], table.schema)
         schema = T.StructType([*table.schema.fields, T.StructField("run", T.StringType())])
         root = f"{self.folder}/{name}"
-        stored = self.spark.read.schema(schema).option("basePath", root).parquet(*[f"{root}/{p}" for p in parts])
+        stored = self.spark.read.schema(schema).option("basePath", root).parquet(*[f"{root}/{p}" for p in folders])
         return stored.select(*table.schema.names)
 
     def paths(self) -> set[str]:
@@ -75,7 +82,8 @@ def version(spark: SparkSession, folder: str, number: int | None = None) -> Vers
         number = known[-1]
     told = json.loads(files.read_text(spark, _manifest(folder, number)))
     tables = {
-        name: Table(T.StructType.fromJson(t["schema"]), tuple(t["by"]), tuple(t["parts"])) for name, t in told.items()
+        name: Table(T.StructType.fromJson(t["schema"]), tuple(t["by"]), tuple(t["parts"]), tuple(t["whole"]))
+        for name, t in told.items()
     }
     return Version(spark, folder, number, tables)
 
@@ -98,15 +106,18 @@ class Draft:
         own = f"run={self.run}"
         df.write.partitionBy(*by).parquet(f"{self.folder}/{name}/{own}")
         written = [f"{own}/{leaf}" for leaf in files.leaves(self.spark, f"{self.folder}/{name}/{own}", len(by))] if by else [own]
-        kept = [part for part in self.base.tables[name].parts if keep(part)] if keep and self.base else []
+        base = self.base.tables[name] if keep and self.base else Table(T.StructType(), (), ())
+        kept = [part for part in base.parts if keep(part)]
+        lost = {part.split("/")[0] for part in base.parts if part not in kept}
+        whole = [own] * bool(written) + [run for run in base.whole if run not in lost]
         # as read back: partition columns last, everything nullable
         names = [c for c in df.columns if c not in by] + list(by)
         schema = T.StructType([T.StructField(c, df.schema[c].dataType) for c in names])
-        self.tables[name] = Table(schema, tuple(by), (*kept, *written))
-        return self.read(name, written)
+        self.tables[name] = Table(schema, tuple(by), (*kept, *written), tuple(whole))
+        return self.read(name, own)
 
-    def read(self, name: str, parts: Sequence[str] | None = None) -> DataFrame:
-        return Version(self.spark, self.folder, 0, self.tables).read(name, parts)
+    def read(self, name: str, run: str | None = None) -> DataFrame:
+        return Version(self.spark, self.folder, 0, self.tables).read(name, run)
 
     def commit(self) -> Version:
         """Make this version the current one. Fails, and changes nothing, if another run was faster.
@@ -115,7 +126,8 @@ class Draft:
         """
         number = self.base.number + 1 if self.base else 1
         told = {
-            name: {"schema": t.schema.jsonValue(), "by": t.by, "parts": t.parts} for name, t in self.tables.items()
+            name: {"schema": t.schema.jsonValue(), "by": t.by, "parts": t.parts, "whole": t.whole}
+            for name, t in self.tables.items()
         }
         try:
             files.write_new(self.spark, _manifest(self.folder, number), json.dumps(told))
