@@ -17,20 +17,28 @@ LEVELS = {
 }
 
 
+class PublishedTables(dict[str, DataFrame]):
+    """The tables of one published version by name; ``rollups`` has those that the marts were taken from."""
+
+    def __init__(self, tables: dict[str, DataFrame], rollups: dict[str, DataFrame]):
+        super().__init__(tables)
+        self.rollups = rollups
+
+
 def level(sel: Selection) -> str:
     """Name of the smallest table that has all columns the selection restricts."""
     needed = sel.restricted()
     return next(name for name, columns in LEVELS.items() if needed <= columns)
 
 
-def delivery(tables: dict[str, DataFrame], sel: Selection) -> DataFrame:
+def delivery(unified: DataFrame, tables: dict[str, DataFrame], sel: Selection) -> DataFrame:
     """Selected rows with ``platform`` and the base measures, whose sums are those of the selected facts.
 
-    Without the roll-up of a published version (as on session views) they are the facts themselves.
+    Of tables that are not a published version (such as the views of a session) they are the facts themselves.
     """
-    if "campaign_rollup" not in tables:
-        return filter_facts(tables["unified_ads"], sel)
+    if not isinstance(tables, PublishedTables):
+        return filter_facts(unified, sel)
     name = level(sel)
-    rows = day_rows(tables[name]) if name == "campaign_rollup" else tables[name]
+    rows = day_rows(tables.rollups[name]) if name in tables.rollups else tables[name]
     summed = [F.col(m if m in rows.columns else f"total_{m}").alias(m) for m in BASE_MEASURES]
     return filter_facts(rows, sel).select("platform", *summed)

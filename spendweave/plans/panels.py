@@ -203,7 +203,7 @@ def dashboard(unified: DataFrame, marts: dict[str, DataFrame], sel: Selection) -
     the views of the session (see ``register_views``), where those read ``unified`` behind pushed
     filters. Findings and recommendations are those of the selected platforms and campaigns.
     """
-    filtered = delivery({**marts, "unified_ads": unified}, sel)
+    filtered = delivery(unified, marts, sel)
     if is_empty(filtered):
         return {}
     daily_f = filter_daily(marts["daily_platform_summary"], sel)

@@ -34,6 +34,7 @@ from spendweave.plans.marts import (
     with_month,
     with_ranks,
 )
+from spendweave.plans.navigation import PublishedTables
 from spendweave.sources import versions
 from spendweave.sources.specs import UNIFIED_COLUMNS
 from spendweave.sources.store import materialise
@@ -111,12 +112,13 @@ def _publish(draft: versions.Draft, facts: DataFrame, months: Sequence[date] | N
     return draft.commit()
 
 
-def _tables(version: versions.Version) -> dict[str, DataFrame]:
+def _tables(version: versions.Version) -> PublishedTables:
     facts = version.read("unified_ads").select(*UNIFIED_COLUMNS)
-    return {"unified_ads": facts, **{name: version.read(name) for name in (*MARTS, *ROLLUPS)}}
+    marts = {name: version.read(name) for name in MARTS}
+    return PublishedTables({"unified_ads": facts, **marts}, {name: version.read(name) for name in ROLLUPS})
 
 
-def publish_marts(facebook: DataFrame, google: DataFrame, tiktok: DataFrame, folder: str) -> dict[str, DataFrame]:
+def publish_marts(facebook: DataFrame, google: DataFrame, tiktok: DataFrame, folder: str) -> PublishedTables:
     """Publish facts, roll-ups and marts below ``folder`` as a new version; return it as read back.
 
     Until the last step readers have the version before, also if this run fails on its way.
@@ -127,7 +129,7 @@ def publish_marts(facebook: DataFrame, google: DataFrame, tiktok: DataFrame, fol
 
 def refresh_marts(
     facebook: DataFrame, google: DataFrame, tiktok: DataFrame, folder: str, days: Sequence[date]
-) -> dict[str, DataFrame]:
+) -> PublishedTables:
     """Publish a version in which the rows of ``days`` are those of the feeds, and all others are as before.
 
     Of the feeds only those days are read; of the stored facts, the months that they lie in. All other
@@ -147,7 +149,7 @@ def refresh_marts(
     return _tables(_publish(draft, facts, months))
 
 
-def read_marts(spark: SparkSession, folder: str, number: int | None = None) -> dict[str, DataFrame]:
+def read_marts(spark: SparkSession, folder: str, number: int | None = None) -> PublishedTables:
     """All tables of one published version, by default the current one, resolved once."""
     return _tables(versions.version(spark, folder, number))
 
