@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spendweave.llm.native import listed, spans, text_of
+from spendweave.llm.native import chunks, listed, piece, spans, text_of
 
 # A pattern starts where the last match ended or where its first run of characters starts.
 # A match cannot start later in that run, so this finds the same, in time linear in the text.
@@ -54,6 +54,7 @@ CONTEXT = {
     "national_id": "ssn|social|security|identity",
 }
 NEAR, RAISE, LEAST = 40, 30, 50
+SCORED = "array<struct<start:int,kind_no:int,stop:int,kind:string,score:int>>"
 
 
 def find(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -65,11 +66,12 @@ def find(docs: DataFrame, text: str = "text") -> DataFrame:
     parts = ", ".join(spans("_text", kind, i, pattern, keep) for i, (kind, pattern, keep) in enumerate(RULES))
     base = "CASE s.kind " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in SCORES.items()) + " END"
     word = "CASE s.kind " + " ".join(f"WHEN '{k}' THEN r'\\b({v})\\b'" for k, v in CONTEXT.items()) + " END"
-    around = f"""concat(substring(_text, greatest(s.start - {NEAR}, 0) + 1, least(s.start, {NEAR})), ' ',
-                        substring(_text, s.stop + 1, {NEAR}))"""
-    scored = f"""transform(array_sort(concat({parts})), s -> named_struct(
-      'start', s.start, 'kind_no', s.kind_no, 'stop', s.stop, 'kind', s.kind,
-      'score', {base} + CASE WHEN lower({around}) RLIKE {word} THEN {RAISE} ELSE 0 END))"""
+    left, right = piece("cut", "greatest(s.start - {0}, 0)".format(NEAR), "s.start"), piece("cut", "s.stop", f"(s.stop + {NEAR})")
+    scored = f"""transform(array(array_sort(concat({parts}))), every ->
+      CASE WHEN size(every) = 0 THEN cast(array() AS {SCORED}) ELSE transform(array({chunks("_text")}), cut ->
+        transform(every, s -> named_struct(
+          'start', s.start, 'kind_no', s.kind_no, 'stop', s.stop, 'kind', s.kind,
+          'score', {base} + CASE WHEN lower(concat({left}, ' ', {right})) RLIKE {word} THEN {RAISE} ELSE 0 END)))[0] END)[0]"""
     kept = f"filter({scored}, s -> s.kind_no < {len(BASE_RULES)} OR s.score >= {LEAST})"
     out = docs.drop("found", "_text").withColumn("_text", text_of(text))
     return out.withColumn("found", F.expr(kept)).drop("_text")

@@ -17,7 +17,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendweave.llm.native import SPANS, listed, spans, text_of
+from spendweave.llm.native import SPANS, chunks, listed, piece, running, spans, text_of
 from spendweave.sources.store import scratch_folder
 
 # Fixed values: (kind, pattern, condition on a match s.hit). The order ranks spans that start together.
@@ -101,10 +101,14 @@ def digest(found: DataFrame) -> DataFrame:
 
 def without_secrets(found: DataFrame, text: str = "text") -> DataFrame:
     """The rows of a scan with every found span cut out of the text; overlapping spans count once."""
-    cut = f"""CASE WHEN size(found) = 0 THEN `{text}` ELSE aggregate(found,
-      named_struct('at', 0, 'out', ''),
-      (a, s) -> named_struct(
-        'at', greatest(a.at, s.stop),
-        'out', concat(a.out, substring(`{text}`, a.at + 1, greatest(s.start - a.at, 0)))),
-      a -> concat(a.out, substring(`{text}`, a.at + 1))) END"""
+    # what stays lies between the last end so far and the next start
+    ends = running("transform(found, s -> s.stop)", "greatest(v, w)")
+    before = "CASE WHEN i = 0 THEN 0 ELSE ends[i - 1] END"
+    gap = piece("cut", "g.start", "g.stop")
+    gaps = f"""concat(
+      transform(found, (s, i) -> named_struct('start', {before}, 'stop', greatest(s.start, {before}))),
+      array(named_struct('start', ends[size(found) - 1], 'stop', length(`{text}`))))"""
+    cut = f"""CASE WHEN size(found) = 0 THEN `{text}` ELSE transform(array({ends}), ends ->
+      transform(array({chunks(f"`{text}`")}), cut ->
+        array_join(transform({gaps}, g -> {gap}), ''))[0])[0] END"""
     return found.withColumn(text, F.expr(cut))
