@@ -1,13 +1,15 @@
 """Token-id shards, compressed by a Re-Pair grammar and decodable at any document.
 
 A shard is a run of documents in ascending doc_id. Frequent pairs of neighbouring symbols are
-replaced by nonterminals, round after round, as long as pairs repeat enough to pay for a rule. The
-shard stores the rules, the last sequence and its expansion lengths' sums, sampled, so that the ids of one
-document are found and expanded without the rest.
+replaced by nonterminals, round after round, until no pair repeats enough to pay for a rule. After the
+first round only pairs with a new symbol, and those left over, are counted again: no other pair can have become
+more frequent. The shard stores the rules, the last sequence and its expansion lengths' sums, sampled, so that
+the ids of one document are found and expanded without the rest.
 
 File format, little-endian: magic, six counts, then the arrays doc_id (int64), known (uint8, 0
 where doc_id is null), length (int64, ids of each document), rule_left and rule_right (uint32), samples
-(int64, ids before every SAMPLE-th symbol) and the sequence (uint16 if symbols fit, else uint32).
+(int64, ids before every SAMPLE-th symbol), used (a bit for each symbol, set if the sequence has it) and the
+sequence, as places among the used symbols (uint16 if those fit, else uint32).
 """
 
 from __future__ import annotations
@@ -36,13 +38,13 @@ TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
 #: A shard is closed at so many ids; a document is never split.
 SHARD_IDS = 1 << 20
-#: A pair gets a rule if it occurs so often; so many rules a round at most; so many rounds at most.
-LEAST_COUNT, ROUND_RULES, ROUNDS = 8, 5000, 3
+#: A pair gets a rule if it occurs so often; so many rules a round at most, the rest come in later rounds.
+LEAST_COUNT, ROUND_RULES = 8, 5000
 SAMPLE = 256
 #: A Python worker remembers so many pieces of text in each of two generations, after a space and elsewhere.
 CACHE = 1 << 18
 
-MAGIC = b"RPIDS001"
+MAGIC = b"RPIDS002"
 _HEAD = struct.Struct("<8s6Q")
 
 # White space that touches white space or an end, where a text cannot be cut at spaces.
@@ -123,29 +125,41 @@ _TABLE_BITS = 20
 
 
 def _hashed(pairs: np.ndarray) -> np.ndarray:
-    factor = 0x9E3779B1 if pairs.dtype == np.uint32 else 0x9E3779B97F4A7C15
-    return pairs * pairs.dtype.type(factor) >> pairs.dtype.type(8 * pairs.itemsize - _TABLE_BITS)
+    return pairs * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - _TABLE_BITS)
 
 
 def compress(ids: np.ndarray, vocabulary: int) -> tuple[np.ndarray, np.ndarray]:
-    """(rules as rows of two symbols, sequence). Rule k makes symbol vocabulary + k."""
-    # two symbols as one number: of 32 bits if that is enough, which sorts faster
-    short = vocabulary + ROUNDS * ROUND_RULES <= 1 << 16
-    kind, half = (np.uint32, 16) if short else (np.uint64, 32)
-    sequence, rules = ids.astype(kind), [np.zeros((0, 2), np.int64)]
-    symbols = vocabulary
-    for _ in range(ROUNDS):
-        if len(sequence) < 2:
-            break
-        code = sequence[:-1] << kind(half) | sequence[1:]
-        pairs, counts = np.unique(code, return_counts=True)
+    """(rules as rows of two symbols, sequence). Rule k makes symbol vocabulary + k.
+
+    In the sequence no pair is left LEAST_COUNT times. Every round shortens it, so that the rounds end.
+    """
+    half = np.uint64(32)
+    sequence, rules = ids.astype(np.uint64), [np.zeros((0, 2), np.int64)]
+    symbols, fresh, left = vocabulary, 0, np.zeros(0, np.uint64)
+    while len(sequence) > 1:
+        code = sequence[:-1] << half | sequence[1:]
+        if symbols > vocabulary:  # pairs of a new symbol, and those that were frequent before and got no rule
+            new = sequence >= fresh
+            again = new[:-1] | new[1:]
+            if len(left):
+                table = np.zeros(1 << _TABLE_BITS, np.int32)
+                table[_hashed(left)] = np.arange(len(left))
+                again |= left[table[_hashed(code)]] == code
+                # of leftover pairs with one hash only the last is seen by the table
+                hidden = left[table[_hashed(left)] != np.arange(len(left))]
+                if len(hidden):
+                    again |= np.isin(code, hidden)
+            counted = code[again]
+        else:
+            counted = code
+        pairs, counts = np.unique(counted, return_counts=True)
         often = np.flatnonzero(counts >= LEAST_COUNT)
         if not len(often):
             break
-        often = np.sort(often[np.argsort(-counts[often], kind="stable")[:ROUND_RULES]])
-        chosen = pairs[often]
+        every = pairs[often]
+        chosen = np.sort(every[np.argsort(-counts[often], kind="stable")[:ROUND_RULES]])
         # a table by a hash of the pair; of chosen pairs with one hash the last is replaced in this round
-        table = np.zeros(1 << _TABLE_BITS, np.int16)
+        table = np.zeros(1 << _TABLE_BITS, np.int32)
         table[_hashed(chosen)] = np.arange(len(chosen))
         slot = table[_hashed(code)]
         at = np.flatnonzero(chosen[slot] == code)
@@ -156,11 +170,14 @@ def compress(ids: np.ndarray, vocabulary: int) -> tuple[np.ndarray, np.ndarray]:
         taken = (np.arange(len(at)) - start) % 2 == 0
         at, slot = at[taken], slot[taken]
         used, slot = np.unique(slot, return_inverse=True)
-        sequence[at] = symbols + slot
+        sequence[at] = (symbols + slot).astype(np.uint64)
         kept = np.ones(len(sequence), bool)
         kept[at + 1] = False
         sequence = sequence[kept]
-        rules.append(np.stack([chosen[used] >> kind(half), chosen[used] & kind((1 << half) - 1)], axis=1).astype(np.int64))
+        made = chosen[used]
+        rules.append(np.stack([made >> half, made & np.uint64((1 << 32) - 1)], axis=1).astype(np.int64))
+        # a pair with a rule can still stand where an overlap kept it from being replaced
+        fresh, left = np.uint64(symbols), every
         symbols += len(used)
     return np.concatenate(rules), sequence
 
@@ -200,11 +217,13 @@ class Shard:
 
     def read(self, start: int, n: int) -> np.ndarray:
         """``n`` ids from ``start``; expands only the symbols around them."""
+        if not n:
+            return self.table[:0]
         first = int(np.searchsorted(self.samples, start, "right")) - 1
         after = int(np.searchsorted(self.samples, start + n, "left"))
         low, high = first * SAMPLE, after * SAMPLE  # from the last sample before to the first behind
         before = start - int(self.samples[first])
-        return self.expand(self.sequence[low:high].astype(np.int64))[before : before + n]
+        return self.expand(self.sequence[low:high])[before : before + n]
 
     def document(self, k: int) -> np.ndarray:
         return self.read(int(self.starts[k]), int(self.lengths[k]))
@@ -218,7 +237,10 @@ def pack(doc_ids: list[int | None], ids: list[np.ndarray], vocabulary: int) -> b
         sizes[k] = sizes[a] + sizes[b]
     lengths = sizes[sequence]
     samples = (lengths.cumsum() - lengths)[::SAMPLE]
-    wide = "<u2" if vocabulary + len(rules) <= 1 << 16 else "<u4"
+    # symbols in use, and the sequence as places among them
+    flags = np.zeros(vocabulary + len(rules), bool)
+    flags[sequence] = True
+    wide = "<u2" if flags.sum() <= 1 << 16 else "<u4"
     counts = len(doc_ids), len(rules), len(samples), len(sequence), int(wide[-1]), vocabulary
     arrays = (
         np.array([i or 0 for i in doc_ids], "<i8"),
@@ -226,7 +248,8 @@ def pack(doc_ids: list[int | None], ids: list[np.ndarray], vocabulary: int) -> b
         np.array([len(x) for x in ids], "<i8"),
         rules.T.astype("<u4"),
         samples.astype("<i8"),
-        sequence.astype(wide),
+        np.packbits(flags),
+        (flags.cumsum() - 1)[sequence].astype(wide),
     )
     return _HEAD.pack(MAGIC, *counts) + b"".join(a.tobytes() for a in arrays)
 
@@ -234,14 +257,15 @@ def pack(doc_ids: list[int | None], ids: list[np.ndarray], vocabulary: int) -> b
 def unpack(raw: bytes) -> Shard:
     """A shard from its file; ValueError if it is not one."""
     magic, docs, n_rules, n_samples, n_symbols, width, vocabulary = _HEAD.unpack_from(raw)
-    sizes = [8 * docs, docs, 8 * docs, 8 * n_rules, 8 * n_samples, width * n_symbols]
+    sizes = [8 * docs, docs, 8 * docs, 8 * n_rules, 8 * n_samples, -(-(vocabulary + n_rules) // 8), width * n_symbols]
     if magic != MAGIC or _HEAD.size + sum(sizes) != len(raw):
         raise ValueError("not a shard of token ids")
     out, at = [], _HEAD.size
-    for size, kind in zip(sizes, ("<i8", np.uint8, "<i8", "<u4", "<i8", f"<u{width}")):
+    for size, kind in zip(sizes, ("<i8", np.uint8, "<i8", "<u4", "<i8", np.uint8, f"<u{width}")):
         out.append(np.frombuffer(raw[at : at + size], kind))
         at += size
-    return Shard(out[0], out[1], out[2], out[3].reshape(2, -1).T, out[4], out[5], vocabulary)
+    used = np.flatnonzero(np.unpackbits(out[5], count=vocabulary + n_rules))
+    return Shard(out[0], out[1], out[2], out[3].reshape(2, -1).T, out[4], used[out[6]], vocabulary)
 
 
 SHARDS = "part int, first_token bigint, n_docs bigint, n_tokens bigint, shard binary"
@@ -295,7 +319,7 @@ def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for base, raw in zip(batch.column(0).to_pylist(), batch.column(1)):
             shard = unpack(raw.as_py())
-            ids = shard.expand(shard.sequence.astype(np.int64)).astype("<u4").tobytes()
+            ids = shard.expand(shard.sequence).astype("<u4").tobytes()
             cuts = (4 * shard.starts).tolist()
             crc = [zlib.crc32(ids[a:b]) for a, b in zip(cuts, cuts[1:])]
             yield pa.RecordBatch.from_arrays(
