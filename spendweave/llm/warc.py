@@ -4,11 +4,16 @@ An archive begins with a skippable frame whose content is the dictionary that th
 after it were compressed with. Each record is one frame, so that a reader can skip or start
 at any. The first occurrence of a payload is a response; later ones are revisit records, which
 refer to it and carry no payload.
+
+Archives of other writers are read too: without a dictionary or with one that is itself compressed, with
+frames that do not state their size, with more skippable frames, and with records of any type.
 """
 
 from __future__ import annotations
 
+import base64
 import hashlib
+import re
 import struct
 import uuid
 from collections.abc import Iterator
@@ -24,7 +29,8 @@ from spendweave.sources.store import materialise
 # Fixed values of the format.
 DICTIONARY_MAGIC = 0x184D2A5D
 FRAME_MAGIC = 0xFD2FB528
-VERSION = b"WARC/1.1"
+SKIPPABLE = range(0x184D2A50, 0x184D2A60)
+VERSION, VERSIONS = b"WARC/1.1", (b"WARC/1.0", b"WARC/1.1")
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 #: Payloads below are always stored.
@@ -36,6 +42,7 @@ SAMPLE_PAGES, SAMPLE_CHARS, DICTIONARY_BYTES = 400, 20_000, 32 << 10
 LEVEL = 6
 
 _ZERO_DATE = "1970-01-01T00:00:00Z"
+_OWN_URN = re.compile(r"<urn:page:(-?\d+)>")
 
 
 def train(pages: DataFrame, html: str = "html") -> bytes:
@@ -63,7 +70,14 @@ def record(headers: list[tuple[str, str]], block: bytes) -> bytes:
 
 def frame_end(archive: memoryview, at: int) -> int:
     """Where the frame that starts at ``at`` ends, from the lengths in its headers."""
-    if struct.unpack_from("<I", archive, at)[0] != FRAME_MAGIC:
+    if len(archive) - at < 8:
+        raise ValueError("a frame is cut off")
+    magic, size = struct.unpack_from("<II", archive, at)
+    if magic in SKIPPABLE:
+        if at + 8 + size > len(archive):
+            raise ValueError("a frame is cut off")
+        return at + 8 + size
+    if magic != FRAME_MAGIC:
         raise ValueError(f"no Zstandard frame at byte {at}")
     head = bytes(archive[at : at + 18])
     checksum = 4 if zstd.get_frame_parameters(head).has_checksum else 0
@@ -84,14 +98,19 @@ def parse(raw: bytes) -> tuple[dict[str, str], bytes]:
     """Headers, by lower-case name, and block of a record; ValueError if it is not well formed."""
     head, split, rest = raw.partition(b"\r\n\r\n")
     version, *lines = head.split(b"\r\n")
-    if not split or version != VERSION:
-        raise ValueError("not a WARC/1.1 record")
-    headers = {}
+    if not split or version not in VERSIONS:
+        raise ValueError("not a WARC record")
+    headers: dict[str, str] = {}
+    name = ""
     for line in lines:
-        name, colon, value = line.decode().partition(":")
+        if name and line[:1] in (b" ", b"\t"):  # a header that goes on
+            headers[name] += " " + line.decode(errors="replace").strip()
+            continue
+        name, colon, value = line.decode(errors="replace").partition(":")
         if not colon:
             raise ValueError(f"a header without a colon: {name}")
-        headers[name.strip().lower()] = value.strip()
+        name = name.strip().lower()
+        headers[name] = value.strip()
     for name in ("warc-type", "warc-record-id", "warc-date", "content-length"):
         if name not in headers:
             raise ValueError(f"a record without {name}")
@@ -101,18 +120,26 @@ def parse(raw: bytes) -> tuple[dict[str, str], bytes]:
     return headers, rest[:length]
 
 
+def dictionary_of(archive: memoryview) -> tuple[bytes, int]:
+    """The dictionary in the leading frame, empty where there is none, and where the records begin."""
+    if len(archive) < 8 or struct.unpack_from("<I", archive)[0] != DICTIONARY_MAGIC:
+        return b"", 0
+    end = frame_end(archive, 0)
+    stored = bytes(archive[8:end])
+    if stored[:4] == struct.pack("<I", FRAME_MAGIC):  # the dictionary itself is compressed
+        stored = zstd.ZstdDecompressor().decompressobj().decompress(stored)
+    return stored, end
+
+
 def read_archive(archive: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     """The records of an archive, one frame at a time."""
     view = memoryview(archive)
-    magic, size = struct.unpack_from("<II", view, 0)
-    if magic != DICTIONARY_MAGIC:
-        raise ValueError("an archive has to begin with its dictionary")
-    at = 8 + size
-    known = zstd.ZstdCompressionDict(bytes(view[8:at])) if size else None
-    reader = zstd.ZstdDecompressor(dict_data=known)
+    stored, at = dictionary_of(view)
+    reader = zstd.ZstdDecompressor(dict_data=zstd.ZstdCompressionDict(stored) if stored else None)
     while at < len(view):
         end = frame_end(view, at)
-        yield parse(reader.decompress(view[at:end]))
+        if struct.unpack_from("<I", view, at)[0] == FRAME_MAGIC:
+            yield parse(reader.decompressobj().decompress(view[at:end]))
         at = end
 
 
@@ -187,8 +214,29 @@ RECORDS = (
 
 
 def _page_of(urn: str | None) -> int | None:
-    number = urn[len("<urn:page:") : -1] if urn else ""
-    return int(number) if number else None
+    """The page in a record id of this package; None for any other."""
+    known = _OWN_URN.fullmatch(urn or "")
+    return int(known[1]) if known else None
+
+
+def payload_of(headers: dict[str, str], block: bytes) -> bytes:
+    """What a record is about: the body of an HTTP message, else the whole block."""
+    if headers.get("content-type", "").replace(" ", "").lower().startswith("application/http"):
+        return block.partition(b"\r\n\r\n")[2]
+    return block
+
+
+def check_payload(headers: dict[str, str], payload: bytes) -> str | None:
+    """The payload's SHA-256: computed if the record carries it, else as a header says; ValueError if a digest differs."""
+    kind, _, stated = headers.get("warc-payload-digest", "").partition(":")
+    if headers["warc-type"] == "revisit":
+        return stated if kind == "sha256" else None
+    if kind in ("sha1", "sha256", "md5") and stated:
+        own = hashlib.new(kind, payload)
+        # writers state digests in base 32 or in hexadecimal digits
+        if stated.lower() != own.hexdigest() and stated.upper().rstrip("=") != base64.b32encode(own.digest()).decode().rstrip("="):
+            raise ValueError(f"{headers['warc-record-id']}: the payload does not have its digest")
+    return hashlib.sha256(payload).hexdigest()
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,14 +244,14 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for archive in batch.column(0):
             out = []
             for headers, block in read_archive(archive.as_py()):
-                kind, digest = headers["warc-type"], headers["warc-payload-digest"].removeprefix("sha256:")
-                if kind == "response" and hashlib.sha256(block).hexdigest() != digest:
-                    raise ValueError(f"{headers['warc-record-id']}: the payload does not have its digest")
+                kind, payload = headers["warc-type"], payload_of(headers, block)
+                digest = check_payload(headers, payload)
+                size = headers.get("warc-refers-to-length") if kind == "revisit" else len(payload)
                 out.append(
                     {
                         "page_id": _page_of(headers["warc-record-id"]),
                         "url": headers.get("warc-target-uri"),
-                        "payload_bytes": int(headers["warc-refers-to-length"]) if kind == "revisit" else len(block),
+                        "payload_bytes": None if size is None else int(size),
                         "payload_digest": digest,
                         "record_type": kind,
                         "refers_to": _page_of(headers.get("warc-refers-to")),
@@ -216,7 +264,11 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def read_archives(archives: DataFrame) -> DataFrame:
-    """The records of archives, headers, lengths and payload digests checked; a broken archive stops the job."""
+    """The records of archives, headers, lengths and payload digests checked; a broken archive stops the job.
+
+    Of records by other writers ``page_id`` and ``refers_to`` are null, and so are a revisit's size and SHA-256 where it
+    does not state them. An empty binary is an archive without records.
+    """
     batches = archives.sparkSession
     small_batches(batches)
     return archives.select("archive").mapInArrow(_read, RECORDS)
