@@ -25,8 +25,12 @@ from spendweave.llm.batches import small_batches
 Q = 8
 #: Edits per character of an item.
 EDITS = 0.1
-#: Items below are too common to be evidence; they are not searched.
+#: Items below are found only where they occur without any edit.
 LEAST_CHARS = 24
+#: Bands of an item with more than MANY in a text are first held to the lemma for shorter q-grams, which asks for more.
+SHORT_Q, MANY = 4, 16
+#: So many (place in the text, place in an item) pairs are held at once, also where all texts and items share a phrase.
+TOGETHER_HITS = 1 << 22
 #: Items are broadcast in blocks of at most so many bytes; each block is searched in all texts.
 BLOCK_BYTES = 8 << 20
 #: Texts of at most so many code points are searched together.
@@ -56,10 +60,10 @@ def fold(text: str) -> tuple[np.ndarray, np.ndarray]:
     return out, kept
 
 
-def qgrams(points: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of the Q code points from each place, by doubling."""
+def qgrams(points: np.ndarray, q: int = Q) -> np.ndarray:
+    """A 64-bit hash of the ``q`` code points, a power of two, from each place, by doubling."""
     h, width = points.astype(np.uint64), 1
-    while width < Q:
+    while width < q:
         factor = np.uint64(pow(0x9E3779B97F4A7C15, width, 1 << 64))
         h = h[:-width] * factor + h[width:] if len(h) > width else h[:0]
         width *= 2
@@ -79,13 +83,18 @@ class Index:
     item: np.ndarray
     place: np.ndarray
     present: np.ndarray  # by the top bits of a hash
+    short: dict[int, list[int]]  # items below Q by their length
 
 
 def index(items: list[tuple[int, str]], edits: float = EDITS) -> Index:
-    folded = [(i, points) for i, text in items if len(points := fold(text)[0]) >= LEAST_CHARS]
+    folded = [(i, points) for i, text in items if len(points := fold(text.strip())[0])]
     lengths = np.array([len(p) for _, p in folded], np.int64)
     # a budget that leaves the lemma at least one q-gram
     budget = np.minimum((lengths * edits).astype(np.int64), (lengths - Q) // Q)
+    budget[lengths < LEAST_CHARS] = 0
+    short: dict[int, list[int]] = {}
+    for k in np.flatnonzero(lengths < Q).tolist():
+        short.setdefault(int(lengths[k]), []).append(k)
     hashes = [qgrams(p) for _, p in folded]
     every = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
     item = np.repeat(np.arange(len(folded)), [len(h) for h in hashes])
@@ -96,20 +105,49 @@ def index(items: list[tuple[int, str]], edits: float = EDITS) -> Index:
     present[distinct >> np.uint64(42)] = True
     return Index(
         [i for i, _ in folded], [p for _, p in folded], budget, lengths + 1 - Q - Q * budget,
-        distinct, np.append(first, len(every)), item[order], place[order], present,
+        distinct, np.append(first, len(every)), item[order], place[order], present, short,
     )
 
 
 def candidates(points: np.ndarray, own: Index) -> np.ndarray:
-    """Rows (item, first diagonal of the band) of bands that reach the item's bound."""
+    """Rows (item, first diagonal of the band) of bands that reach the item's bound, by item and place.
+
+    Shared q-grams are counted for so many items at once as stay within TOGETHER_HITS, and for an item that has
+    more by itself in overlapping windows of the text.
+    """
     h = qgrams(points)
     at = np.flatnonzero(own.present[h >> np.uint64(42)])
     slot = np.searchsorted(own.hashes, h[at])
     same = own.hashes[np.minimum(slot, len(own.hashes) - 1)] == h[at] if len(own.hashes) else np.zeros(0, bool)
     at, slot = at[same], slot[same]
-    n = own.first[slot + 1] - own.first[slot]
+    if (own.first[slot + 1] - own.first[slot]).sum() <= TOGETHER_HITS:
+        return _bands(at, slot, own, np.arange(len(own.place)), own.first)
+    hits = np.bincount(slot, minlength=len(own.hashes))
+    each = np.bincount(own.item, np.repeat(hits, np.diff(own.first)), len(own.items)).astype(np.int64)
+    out, low, total = [], 0, each.cumsum()
+    while low < len(own.items):
+        before = total[low] - each[low]
+        high = max(int(np.searchsorted(total, before + TOGETHER_HITS, "right")), low + 1)
+        places = np.flatnonzero((own.item >= low) & (own.item < high))
+        first = np.searchsorted(places, own.first)
+        near = np.flatnonzero(first[slot + 1] > first[slot])
+        if total[high - 1] - before <= TOGETHER_HITS:
+            out.append(_bands(at[near], slot[near], own, places, first))
+        else:
+            overlap = len(own.items[low]) + 4 * (int(own.edits[low]) + 1)
+            step = max(TOGETHER_HITS // len(places), overlap)
+            for start in range(0, len(h), step):
+                a, b = np.searchsorted(at[near], [start, start + step + overlap])
+                out.append(_bands(at[near[a:b]], slot[near[a:b]], own, places, first))
+        low = high
+    return np.unique(np.concatenate(out), axis=0)
+
+
+def _bands(at: np.ndarray, slot: np.ndarray, own: Index, places: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Bands that reach their item's bound, for hits ``at`` of hash ``slot`` on ``places`` of the index."""
+    n = first[slot + 1] - first[slot]
     # every place of every hit, one row each
-    where = np.repeat(own.first[slot] - (n.cumsum() - n), n) + np.arange(n.sum())
+    where = places[np.repeat(first[slot] - (n.cumsum() - n), n) + np.arange(n.sum())]
     item, diagonal = own.item[where], np.repeat(at, n) - own.place[where]
     half = own.edits[item] + 1
     low = diagonal // half
@@ -180,14 +218,59 @@ def align(item: np.ndarray, text: np.ndarray, first: int, budget: int) -> tuple[
     return (cost, start, int(stops[best])) if cost <= budget else None
 
 
+def _denser(bands: np.ndarray, joined: np.ndarray, own: Index) -> np.ndarray:
+    """Bands that hold as many of an item's SHORT_Q-grams, each near its place, as an occurrence keeps."""
+    items, first, n = np.unique(bands[:, 0], return_index=True, return_counts=True)
+    if not (n > MANY).any():
+        return bands
+    grams, kept = qgrams(joined, SHORT_Q), np.ones(len(bands), bool)
+    order = np.argsort(grams, kind="stable")
+    ranked = grams[order]
+    for item, a, count in zip(items.tolist(), first.tolist(), n.tolist()):
+        if count <= MANY:
+            continue
+        budget, own_grams = int(own.edits[item]), qgrams(own.items[item], SHORT_Q)
+        low = bands[a : a + count, 1] - budget
+        width = 2 * (budget + 1) + 2 * budget
+        shared = np.zeros(count, np.int64)
+        ends = np.searchsorted(ranked, own_grams, "left"), np.searchsorted(ranked, own_grams, "right")
+        for place, (left, right) in enumerate(zip(*map(np.ndarray.tolist, ends))):
+            if left < right:
+                there = order[left:right]
+                # the next place of this gram at or behind the one where the band begins
+                after = there[np.minimum(np.searchsorted(there, low + place), right - left - 1)] - (low + place)
+                shared += (after >= 0) & (after < width)
+        kept[a : a + count] = shared >= len(own.items[item]) + 1 - SHORT_Q * (budget + 1)
+    return bands[kept]
+
+
+def _short_hits(joined: np.ndarray, starts: np.ndarray, own: Index) -> dict[tuple[int, int], tuple[int, int, int]]:
+    """First occurrence of each item below Q code points in each text, by (text, item)."""
+    out: dict[tuple[int, int], tuple[int, int, int]] = {}
+    for size, members in own.short.items():
+        if len(joined) < size:
+            continue
+        spread = lambda p, n: sum(p[j : j + n].astype(np.uint64) * np.uint64(pow(0x9E3779B97F4A7C15, j + 1, 1 << 64)) for j in range(size))
+        windows = spread(joined, len(joined) - size + 1)
+        wanted = {k: int(spread(own.items[k], 1)[0]) for k in members}
+        at = np.flatnonzero(np.isin(windows, np.array(sorted(set(wanted.values())), np.uint64)))
+        for k in members:
+            same = at[windows[at] == np.uint64(wanted[k])]
+            same = same[(joined[same[:, None] + np.arange(size)] == own.items[k]).all(axis=1)]
+            text, first = np.unique(np.searchsorted(starts, same, "right") - 1, return_index=True)
+            for t, place in zip(text.tolist(), (same[first] - starts[text]).tolist()):
+                out[t, k] = (0, place, place + size)
+    return out
+
+
 def leaks(texts: list[str], own: Index) -> list[list[dict]]:
     """Per text the best occurrence of each item in it, by item."""
     folded = [fold(t) for t in texts]
     gap = np.zeros(1, np.uint32)  # in no item
     joined = np.concatenate([x for points, _ in folded for x in (points, gap)]) if texts else gap
     starts = np.cumsum([0] + [len(p) + 1 for p, _ in folded])
-    best: dict[tuple[int, int], tuple[int, int, int]] = {}
-    for item, first in candidates(joined, own).tolist():
+    best = _short_hits(joined, starts, own)
+    for item, first in _denser(candidates(joined, own), joined, own).tolist():
         budget, size = int(own.edits[item]), len(own.items[item])
         # a band may touch the text before or after
         low = int(np.searchsorted(starts, max(first - budget, 0), "right")) - 1
@@ -232,7 +315,7 @@ def _blocks(items: DataFrame, item_id: str, text: str) -> Iterator[list[tuple[in
     """Items in blocks of BLOCK_BYTES at most; a longer item is a block of its own."""
     rows = items.select(F.col(f"`{item_id}`").cast("bigint").alias("i"), F.col(f"`{text}`").cast("string").alias("t"))
     block, size = [], 0
-    for row in rows.where("i IS NOT NULL AND t IS NOT NULL").distinct().toLocalIterator():
+    for row in rows.where("t IS NOT NULL").distinct().toLocalIterator():
         n = len(row["t"].encode())
         if block and size + n > BLOCK_BYTES:
             yield block
@@ -250,8 +333,9 @@ def mark(
 
     Of occurrences with equal edits the first counts; places are code points of the whole
     text. Every item is searched in every text; what is broadcast at once is a block of bounded
-    size. Null and empty texts hold nothing. Items without id or text, and those below LEAST_CHARS, are not
-    searched; of items that share an id each text is searched. Rows repeat as given. A column ``leaks`` is
+    size. Null and empty texts hold nothing. Items below LEAST_CHARS count where they occur without an edit, also
+    inside words; blank items and those without text occur nowhere. An item without id is searched, and has none in the result; of items that
+    share an id each text is searched. Rows repeat as given. A column ``leaks`` is
     replaced. No row is shuffled.
     """
     small_batches(docs.sparkSession)

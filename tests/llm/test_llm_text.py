@@ -3,6 +3,8 @@
 import base64
 import hashlib
 import random
+import struct
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -11,6 +13,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 import xxhash
+import zstandard
 from texts import WORD, awkward, documents, prose
 from tokenizers import Tokenizer
 
@@ -66,8 +69,33 @@ def test_round_trip_of_awkward_rows(spark, encoding):
 
 def test_pieces_are_encoded_as_whole_texts():
     own = repair.Pieces(public_tokenizers.path(repair.TOKENIZER))
-    for text in odd_texts(random.Random(4), 3000) + ["", " ", "a  b", "<|endoftext|> x"]:
-        assert np.frombuffer(own.encode(text), "<u4").tolist() == own.tokenizer.encode(text, add_special_tokens=False).ids
+    plain = Tokenizer.from_file(public_tokenizers.path(repair.TOKENIZER))
+    plain.encode_special_tokens = True  # as the tokenizer files are documented: the token's name in a text is ordinary text
+    for text in odd_texts(random.Random(4), 3000) + ["", " ", "a  b", "<|endoftext|> x", "one <|endoftext|> two"]:
+        assert np.frombuffer(own.encode(text), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
+
+
+def test_rules_are_made_until_no_pair_pays():
+    rng = np.random.default_rng(6)
+    passage = rng.integers(0, 50_000, 2000).astype(np.uint32)
+    inputs = [np.tile(passage, 100), np.ones(5000, np.uint32), np.minimum(rng.zipf(1.3, 40_000), 400).astype(np.uint32), passage[:1], passage[:0]]
+    for ids in inputs:
+        rules, sequence = repair.compress(ids, 50_257)
+        pairs = Counter(zip(sequence[:-1].tolist(), sequence[1:].tolist()))
+        assert not pairs or max(pairs.values()) < repair.LEAST_COUNT
+        shard = repair.unpack(repair.pack([1], [ids], 50_257))
+        assert shard.document(0).tolist() == ids.tolist()
+    assert len(repair.pack([1], inputs[:1], 50_257)) < len(inputs[0]) // 4
+
+
+def test_leftover_pairs_with_one_hash_are_counted(monkeypatch):
+    monkeypatch.setattr(repair, "_TABLE_BITS", 3)
+    monkeypatch.setattr(repair, "ROUND_RULES", 4)
+    ids = np.minimum(np.random.default_rng(7).zipf(1.4, 5000), 60).astype(np.uint32)
+    _, sequence = repair.compress(ids, 100)
+    assert max(Counter(zip(sequence[:-1].tolist(), sequence[1:].tolist())).values()) < repair.LEAST_COUNT
+    shard = repair.unpack(repair.pack([1], [ids], 100))
+    assert shard.document(0).tolist() == ids.tolist()
 
 
 def test_shards_decode_at_any_document():
@@ -137,9 +165,13 @@ def test_leaks_within_the_edit_budget(spark):
             if edit_distance(" ".join(passage.lower().split()), " ".join(inside.lower().split())) <= int(decontaminate.EDITS * size):
                 planted.add((doc_id, k))
         rows.append((doc_id, text))
-    table = spark.createDataFrame([*items, (None, "x"), (50, None), (51, "short")], "item_id bigint, text string")
+    exact = [(None, "x"), (51, "house  marks"), (52, "of The stone and it. "), (53, "到")]
+    planted |= {(i, k) for i, t in rows for k, item in exact if " ".join(item.lower().split()) in " ".join((t or "").lower().split())}
+    table = spark.createDataFrame([*items, *exact, (50, None), (54, ""), (55, " \n")], "item_id bigint, text string")
     found = decontaminate.digest(decontaminate.mark(documents(spark, rows), table)).collect()
     assert {(r.doc_id, r.item_id) for r in found} == planted
+    assert {(None, 6), (51, 5), (53, 5)} <= {(r.item_id, r.doc_id) for r in found}
+    found = [r for r in found if r.item_id in dict(items)]
     texts = dict(rows)
     for r in found:
         fold = lambda t: " ".join(t.lower().split())
@@ -151,6 +183,56 @@ def test_leaks_within_the_edit_budget(spark):
     assert none.where("size(leaks) > 0").count() == 0 and none.count() == len(rows)
 
 
+def best_place(item, text):
+    """(edits, start, stop) of the occurrence with fewest edits, of these with the smallest start, then stop."""
+    row = [(0, j) for j in range(len(text) + 1)]
+    for i, x in enumerate(item, 1):
+        last, row[0] = row[0], (i, 0)
+        for j, y in enumerate(text, 1):
+            ways = (last[0] + (x != y), last[1]), (row[j][0] + 1, row[j][1]), (row[j - 1][0] + 1, row[j - 1][1])
+            last, row[j] = row[j], min(ways)
+    return min((cost, start, stop) for stop, (cost, start) in enumerate(row))
+
+
+@pytest.mark.parametrize("hits", [1 << 22, 64])
+def test_places_and_edits_equal_full_alignment(monkeypatch, hits):
+    monkeypatch.setattr(decontaminate, "TOGETHER_HITS", hits)
+    rng, letters = random.Random(9), "abcdefgh ij"
+    letter = lambda n: "".join(rng.choice(letters) for _ in range(n))
+    items = [(k, letter(rng.randint(1, 90))) for k in range(40)] + [(90, "ab" * 20), (91, "which of the following"), (92, "a")]
+    texts = []
+    for _ in range(60):
+        item = rng.choice(items)[1]
+        texts.append(letter(rng.randint(0, 60)) + edited(rng, item, rng.randint(0, len(item) // 9)) + letter(rng.randint(0, 60)))
+    texts += ["", " ", "ab" * 70, "which of the following " * 5, "which of the followinG", "ij" * 30]
+    fold = lambda t: " ".join(t.split())
+    texts, own = [fold(t).lower() for t in texts], decontaminate.index(items)
+    got = decontaminate.leaks(texts, own)
+    want = []
+    for text in texts:
+        want.append([])
+        for k, item in items:
+            item = fold(item)
+            if item and text:
+                cost, start, stop = best_place(item, text)
+                budget = 0 if len(item) < decontaminate.LEAST_CHARS else min(int(len(item) * decontaminate.EDITS), len(item) // 8 - 1)
+                if cost <= budget:
+                    want[-1].append({"item_id": k, "start": start, "stop": stop, "edits": cost})
+    assert got == want and sum(map(len, want)) > 60
+
+
+def test_phrase_that_all_items_share():
+    rng = random.Random(10)
+    words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(3, 9))) for _ in range(500)]
+    items = [(k, "which of the following " + " ".join(rng.choice(words) for _ in range(12))) for k in range(200)]
+    text = " ".join("which of the following " + " ".join(rng.choice(words) for _ in range(3)) for _ in range(1000))
+    tracemalloc.start()
+    found = decontaminate.leaks([text + " " + items[77][1] + " end"], decontaminate.index(items))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [r["item_id"] for r in found[0]] == [77] and peak < 1 << 30
+
+
 def test_items_in_several_blocks(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 200)
     items = [(k, prose(random.Random(k), 25)) for k in range(4)]
@@ -347,3 +429,44 @@ def test_index_of_a_shard():
                 want[-1].append(s in seen)
                 seen.add(s)
         assert [g.tolist() for g in suffix.repeated(pieces)] == want
+
+
+def test_archives_of_other_writers(spark):
+    http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n<p>body</p>"
+    body = http.partition(b"\r\n\r\n")[2]
+    digest = base64.b32encode(hashlib.sha1(body).digest()).decode()
+    common = "WARC-Record-ID: <urn:uuid:1>\r\nWARC-Date: 2020-01-01T00:00:00Z"
+    made = [
+        ("warcinfo", b"software: x\r\n", "Content-Type: application/warc-fields"),
+        ("response", http, f"Content-Type: application/http; msgtype=response\r\nWARC-Payload-Digest: sha1:{digest}\r\nWARC-Target-URI: http://a/\r\n b"),
+        ("resource", b"", "X-Note: none"),
+        ("revisit", b"", "WARC-Refers-To: <urn:uuid:0>"),
+    ]
+    records = [f"WARC/1.0\r\nWARC-Type: {kind}\r\n{common}\r\n{more}\r\nContent-Length: {len(block)}\r\n\r\n".encode() + block + b"\r\n\r\n" for kind, block, more in made]
+    want = [
+        ("warcinfo", 13, hashlib.sha256(made[0][1]).hexdigest(), None), ("response", 11, hashlib.sha256(body).hexdigest(), "http://a/ b"),
+        ("resource", 0, hashlib.sha256(b"").hexdigest(), None), ("revisit", None, None, None),
+    ]
+    dictionary = zstandard.train_dictionary(2048, [b"WARC/1.0 record %d of many" % (i * 7919) * 8 for i in range(400)])
+
+    def frames(known):
+        out = []
+        for record in records:  # a streaming writer does not know the size
+            packer = zstandard.ZstdCompressor(dict_data=known).compressobj()
+            out.append(packer.compress(record) + packer.flush())
+        return out
+
+    skipped = struct.pack("<II", 0x184D2A50, 3) + b"abc"
+    archives = [
+        b"".join(frames(None)), warc.leading_frame(dictionary.as_bytes()) + b"".join(frames(dictionary)),
+        warc.leading_frame(zstandard.compress(dictionary.as_bytes())) + skipped.join(frames(dictionary)) + skipped,
+    ]
+    for archive in archives:
+        table = spark.createDataFrame([(archive,), (b"",)], "archive binary")
+        out = [(r.record_type, r.payload_bytes, r.payload_digest, r.url) for r in warc.read_archives(table).collect()]
+        assert out == want
+    changed = records[1].replace(b"body", b"bodx")
+    for broken in (zstandard.compress(changed), archives[0][:-4], archives[2][:-1], zstandard.compress(b"WARC/0.9\r\n\r\n")):
+        with pytest.raises(Exception):
+            for headers, block in warc.read_archive(broken):
+                warc.check_payload(headers, warc.payload_of(headers, block))
