@@ -2,14 +2,19 @@
 
 import base64
 import hashlib
+import html
+import itertools
 import random
+import re
 import struct
+import time
 import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 import tiktoken
 import xxhash
@@ -271,9 +276,83 @@ def test_second_pass():
     assert label([], "good") == []
 
 
+def unmarked(page):
+    """A page without what its main text is called: no article, class, id or role."""
+    return re.sub(r' (?:class|id|role)="[^"]*"', "", re.sub(r"</?article[^>]*>", "", page))
+
+
+def test_block_rules_find_the_text_of_unmarked_pages():
+    pages = [r["html"] for r in pq.read_table("/root/testdata/sf0.01/pages.parquet").to_pylist()]
+    precision, recall = [], []
+    for page in pages:
+        inner = re.sub(r"<br>|</?(?:p|h1)>", " ", re.search(r"<article>(.*)</article>", page, re.S)[1])
+        expected = " ".join(html.unescape(re.sub(r"<[^>]*>", "", inner)).split())  # the whole article, by plain replacement
+        assert htmltext.main_text(page) == expected
+        found, wanted = Counter(htmltext.main_text(unmarked(page)).split()), Counter(expected.split())
+        both = (found & wanted).total()
+        precision.append(both / found.total() if found else 0.0)
+        recall.append(both / wanted.total() if wanted else 1.0)
+    assert sum(precision) / len(pages) >= 0.95 and sum(recall) / len(pages) >= 0.95
+
+
+def test_a_mark_holds_only_where_the_text_is():
+    long = "It was the best of the times and the worst of them, as we said to all who were there with us on that day. " * 4
+    body = f"<div><h2>Head</h2><p>{long}</p><p>And so on.</p></div>"
+    assert htmltext.main_text(f"<nav>Menu</nav><article>More of it</article>{body}").startswith("Head It was")
+    assert htmltext.main_text(f'<article>{body}</article><article class="teaser"><p>{long}</p></article>').count("It was") == 4
+    assert htmltext.main_text(f'<article class="has-sidebar">{body}</article>').endswith("And so on.")
+
+
+def test_names_of_elements_are_judged_by_what_they_name():
+    bad = htmltext._bad_name
+    assert all(map(bad, "ad ads ad-slot ad1 ad-300x250 siteFooter cookie_notice comment-list main-nav navMenu sidebar-left".split()))
+    assert not any(map(bad, "ad-free social-policy has-sidebar no-comments intro adage content main-column shared".split()))
+    page = '<article><p class="ad-free intro">Kept one.</p><div id="social-policy"><p>Kept two.</p></div><p class="ad">Gone.</p></article>'
+    assert htmltext.main_text(page) == "Kept one. Kept two."
+
+
+def test_sentences_tell_in_a_language_without_stop_words():
+    russian = "Это было лучшее из времён, это было худшее из времён. Мы помним тот день, когда всё началось. " * 4
+    chinese = "这是最好的时代，这是最坏的时代。我们记得那一天，一切从那里开始。" * 6
+    for text in (russian, chinese):
+        page = f"<nav><a href=x>Меню сайта</a></nav><div><h2>Глава</h2><p>{text}</p><p>Конец.</p></div><footer>Внизу</footer>"
+        assert htmltext.main_text(page) == f"Глава {text.strip()} Конец."
+
+
+def test_second_pass_against_plain_search():
+    draw = random.Random(5)
+    for _ in range(500):
+        n = draw.randrange(12)
+        labels = draw.choices(["good", "bad", "short", "near"], k=n)
+        places = list(itertools.accumulate(draw.choices([1, 1, 2, 9, 17], k=n)))
+        edge = draw.choice(["good", "bad"])
+        far = htmltext.BOUND_GAP
+        decided = [(p, label) for p, label in zip(places, labels) if label in ("good", "bad")]
+        if n:
+            decided = [(places[0] - far, edge), *decided, (places[-1] + far, edge)]
+        expected = []
+        for p, label in zip(places, labels):
+            left = max((d for d in decided if d[0] < p), default=None)
+            right = min((d for d in decided if d[0] > p), default=None)
+            if label == "short":
+                label = left[1] if p - left[0] <= right[0] - p else right[1]
+            elif label == "near":
+                label = "good" if "good" in (left[1], right[1]) else "bad"
+            expected.append(label)
+        assert htmltext.second_pass(labels, edge, places) == expected
+
+
+def test_stray_end_tags_cost_no_search():
+    begun = time.perf_counter()
+    assert htmltext.main_text("<article>" + "<div>" * 40_000 + "</span>" * 40_000 + "Text here.") == "Text here."
+    assert time.perf_counter() - begun < 10
+
+
 def test_pages_of_all_kinds(spark):
     rows = [(1, None), (2, ""), (3, "plain words"), (4, "<p>unclosed <b"), (5, "<!-- open"), (6, "<script>x"), (7, PAGE), (7, PAGE), (None, "<div>" * 5000), (8, "&am")]
     pages = spark.createDataFrame([(i, "u", h, "clash") for i, h in rows], "page_id bigint, url string, html string, text string")
+    named = htmltext.extract(pages.selectExpr("page_id", "'m' AS _markup", "'d' AS `a.b`", "html"))
+    assert named.columns == ["page_id", "_markup", "a.b", "text", "n_chars"] and {tuple(r)[1:3] for r in named.collect()} == {("m", "d")}
     out = htmltext.extract(pages)
     assert out.columns == ["page_id", "url", "text", "n_chars"] and out.count() == len(rows)
     assert all(r.n_chars == len(r.text) for r in out.collect())
