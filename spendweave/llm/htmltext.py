@@ -19,7 +19,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import partial
+from functools import cached_property, partial
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -103,6 +103,12 @@ class Block:
     heading: bool = False
     is_title: bool = False
 
+    @cached_property
+    def stop_words(self) -> tuple[int, int]:
+        """Stop words and words."""
+        words = re.findall(r"\w+", self.text.lower())
+        return sum(w in STOP_WORDS for w in words), len(words)
+
 
 def _bad_name(name: str) -> bool:
     """Whether one name of a class list says that an element holds no main text.
@@ -214,12 +220,6 @@ def blocks(page: str) -> list[Block]:
     return out
 
 
-def _stop_words(text: str) -> tuple[int, int]:
-    """Stop words and words."""
-    words = re.findall(r"\w+", text.lower())
-    return sum(w in STOP_WORDS for w in words), len(words)
-
-
 def _size(text: str) -> int:
     """Length in letters of an alphabet; a syllable or word sign is about three of those."""
     return len(text) if text.isascii() else len(text) + 2 * len(_WIDE.findall(text))
@@ -231,7 +231,7 @@ def _linked(block: Block) -> bool:
 
 def in_other_language(page_blocks: list[Block]) -> bool:
     """Whether the stop words are silent on a page, so that sentences have to tell."""
-    counts = [_stop_words(b.text) for b in page_blocks if not b.bad and not _linked(b) and _size(b.text) >= SHORT]
+    counts = [b.stop_words for b in page_blocks if not b.bad and not _linked(b) and _size(b.text) >= SHORT]
     return sum(n for n, _ in counts) < OTHER_LANGUAGE * sum(n for _, n in counts)
 
 
@@ -244,11 +244,15 @@ def first_pass(block: Block, other_language: bool = False) -> str:
         return "good"
     if size < SHORT:
         return "bad" if block.text.startswith("\u00a9") else "short"
+    found, words = block.stop_words
+    if block.heading:
+        return "short"
+    if not other_language and found >= STOP_DENSITY * max(words, 1):
+        return "good" if size >= LONG else "near"
     sentences = len(_SENTENCE.findall(block.text)) * SENTENCE >= size
-    found, words = _stop_words(block.text)
-    if not block.heading and (sentences if other_language else found >= STOP_DENSITY * max(words, 1)):
+    if other_language and sentences:
         return "good" if size >= LONG else "near"
-    unclear = block.in_article or block.heading or sentences or found >= FEW_STOP_WORDS * words > 0
+    unclear = block.in_article or sentences or found >= FEW_STOP_WORDS * words > 0
     return "short" if unclear else "bad"
 
 
