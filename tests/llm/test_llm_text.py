@@ -4,6 +4,7 @@ import base64
 import hashlib
 import html
 import itertools
+import json
 import random
 import re
 import struct
@@ -80,6 +81,83 @@ def test_pieces_are_encoded_as_whole_texts():
         assert np.frombuffer(own.encode(text), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
 
 
+class Counted:
+    """Counts the calls of an object's methods."""
+
+    def __init__(self, of):
+        self.of, self.calls = of, 0
+
+    def __getattr__(self, name):
+        def call(*args, **kwargs):
+            self.calls += 1
+            return getattr(self.of, name)(*args, **kwargs)
+
+        return call
+
+
+def test_new_words_reach_the_library_together():
+    rng = random.Random(8)
+    own = repair.Pieces(public_tokenizers.path(repair.TOKENIZER))
+    plain = Tokenizer.from_file(public_tokenizers.path(repair.TOKENIZER))
+    own.model, own.tokenizer = Counted(own.model), Counted(own.tokenizer)
+    words = ["".join(rng.choices("aeinorstéß", k=rng.randint(2, 9))) + rng.choice(["", "", ".", ",", "!!", "7"]) for _ in range(20_000)]
+    text = " ".join(words).replace("! ", "!\n")
+    assert np.frombuffer(own.encode(text), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
+    assert own.model.calls + own.tokenizer.calls < 20
+
+
+def test_groups_of_texts_are_encoded_as_each_text():
+    rng = random.Random(9)
+    own = repair.Pieces(public_tokenizers.path(repair.TOKENIZER))
+    odd = [*ODD, "one", "Two.", "three,", "don't", "'s", "l'eau", "a\0b", "\0", "\0\n", "x\n", "Ünd", "ДА", "东京", "ᲊ", "a_b", "1²", "x\x1cy", "“¿qué?”", "—", "\xa0", "\u2028", "<|endoftext|>"]
+    for _ in range(150):
+        texts = ["".join(rng.choice(odd) + rng.choice(["", " ", " ", "\n"]) for _ in range(rng.randint(0, 12))) for _ in range(rng.randint(0, 12))]
+        texts = [rng.choice([t, t.strip(), None]) for t in texts]
+        assert [x.tolist() for x in own.encode_all(texts)] == [own.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
+def test_letters_and_signs_are_those_of_the_library():
+    cut = Tokenizer.from_file(public_tokenizers.path(repair.TOKENIZER)).pre_tokenizer.pre_tokenize_str
+    every = "".join(map(chr, range(1, 0xD800)))
+    letters, signs = (re.findall(f"[{some}]", every) for some in (repair._LETTERS, repair._SIGNS))
+    assert len(letters) > 39_000 and len(signs) > 120
+    assert [c for c in letters if len(cut("a" + c)) != 1] == [] == [c for c in signs if len(cut("!" + c)) != 1]
+
+
+def test_a_model_that_may_merge_otherwise_gets_whole_pieces(tmp_path):
+    raw = json.loads(open(public_tokenizers.path(repair.TOKENIZER), encoding="utf-8").read())
+    raw["model"]["ignore_merges"] = True
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(raw), encoding="utf-8")
+    own, text = repair.Pieces(str(path)), "The words, as they are.\nAnd more!"
+    assert not own.direct
+    assert np.frombuffer(own.encode(text), "<u4").tolist() == Tokenizer.from_file(str(path)).encode(text, add_special_tokens=False).ids
+
+
+def test_rules_are_those_of_counting_all_pairs_in_every_round(monkeypatch):
+    monkeypatch.setattr(repair, "ROUND_RULES", 7)
+    ids = np.minimum(np.random.default_rng(10).zipf(1.4, 4000), 60)
+    rules, sequence = repair.compress(ids.astype(np.uint32), 100)
+    want, made = ids.tolist(), []
+    while True:
+        counts = Counter(zip(want, want[1:]))
+        often = sorted((-n, pair) for pair, n in counts.items() if n >= repair.LEAST_COUNT)[:7]
+        if not often:
+            break
+        symbols = {pair: 0 for pair in sorted(pair for _, pair in often)}
+        # places of chosen pairs; in a chain of such places every other one from its first
+        at, before, places = [k for k, pair in enumerate(zip(want, want[1:])) if pair in symbols], -2, []
+        for k in at:
+            places += [k] if before != k - 1 else []
+            before = k if before != k - 1 else -2
+        used = sorted({(want[k], want[k + 1]) for k in places})
+        for k in places:
+            want[k : k + 2] = [100 + len(made) + used.index((want[k], want[k + 1])), None]
+        want = [x for x in want if x is not None]
+        made += used
+    assert list(map(tuple, rules.tolist())) == made and sequence.tolist() == want
+
+
 def test_rules_are_made_until_no_pair_pays():
     rng = np.random.default_rng(6)
     passage = rng.integers(0, 50_000, 2000).astype(np.uint32)
