@@ -6,6 +6,8 @@ block of it starts, and a block's lines come in their order. All is built-in SQL
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
@@ -23,30 +25,43 @@ class BadRow(PySparkException):
         super().__init__(message=f"{self.file}, line {self.line}, {self.column}: {self.cell!r} is {self.problem}")
 
 
-def _problem(f: Field) -> Column:
-    """What is wrong with a cell, or NULL."""
+def _wrong(f: Field) -> Column:
+    """Whether a cell is wrong; NULL or false if not. A good cell is trimmed and cast once."""
     cell = F.trim(F.col(f"cells.{f.name}"))
-    cell = F.when(~cell.isin(*NULL_TOKENS), cell)
     if f.type == "string":
-        wrong = F.when(F.length(cell) > f.max_length, F.lit(f"longer than {f.max_length}")) if f.max_length else F.lit(None).cast("string")
+        wrong = F.length(cell) > f.max_length if f.max_length else F.lit(False)
     else:
         value = cell.try_cast("decimal(38,0)").try_cast("bigint") if f.type == "bigint" else cell.try_cast(f.type)
-        wrong = F.when(cell.isNotNull() & value.isNull(), F.lit(f"not a {f.type}"))
-    place = F.struct(F.lit(f.name).alias("column"), F.col(f"cells.{f.name}").alias("cell"), wrong.alias("problem"))
-    return F.when(wrong.isNotNull(), place)
+        wrong = value.isNull()
+    return wrong & ~cell.isin(*NULL_TOKENS)
 
 
-def _lines(spark: SparkSession, path: str, spec: SourceSpec) -> DataFrame:
-    """(file, block, id, bad): each line with its bad cells; ids rise along a block."""
-    lines = spark.read.text(path).select(
+def _place(f: Field) -> Column:
+    """What is wrong with a wrong cell."""
+    problem = f"longer than {f.max_length}" if f.type == "string" else f"not a {f.type}"
+    return F.struct(F.lit(f.name).alias("column"), F.col(f"cells.{f.name}").alias("cell"), F.lit(problem).alias("problem"))
+
+
+def _text(spark: SparkSession, path: str) -> DataFrame:
+    """(value, file, block, id): each line; ids rise along a block and do not depend on the columns that are read."""
+    return spark.read.text(path).select(
         "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("id"),
     )
+
+
+def _lines(spark: SparkSession, path: str, spec: SourceSpec) -> DataFrame:
+    """(file, block, id, bad): each line with its bad cells, NULL if it has none."""
     layout = ", ".join(f"{c} string" for c in spec.columns)
-    parsed = lines.withColumn("cells", F.from_csv("value", f"{layout}, _whole_line string", {**CSV, "columnNameOfCorruptRecord": "_whole_line"}))
+    cells = F.from_csv("value", f"{layout}, _whole_line string", {**CSV, "columnNameOfCorruptRecord": "_whole_line"})
+    # Beside a number of its own in one struct, since nothing that numbers rows is computed twice: a filter on
+    # cells would otherwise be moved below the parsing, and parse each line again for every use of a cell.
+    parsed = _text(spark, path).withColumn("row", F.struct(F.monotonically_increasing_id().alias("nr"), cells.alias("cells")))
+    parsed = parsed.select("value", "file", "block", "id", "row.cells")
     misshapen = F.struct(F.lit("").alias("column"), F.col("value").alias("cell"), F.lit(f"not {len(spec.columns)} cells").alias("problem"))
-    bad = F.when(F.col("cells._whole_line").isNotNull(), F.array(misshapen)).otherwise(
-        F.array_compact(F.array(*[_problem(f) for f in spec.fields]))
+    # the array, which Spark does not compile, is made only for lines that have a wrong cell
+    bad = F.when(F.col("cells._whole_line").isNotNull(), F.array(misshapen)).when(
+        reduce(Column.__or__, map(_wrong, spec.fields)), F.array_compact(F.array(*[F.when(_wrong(f), _place(f)) for f in spec.fields]))
     )
     header = F.lit(True)
     for c in spec.columns:
@@ -67,9 +82,8 @@ def bad_cells(spark: SparkSession, path: str, spec: SourceSpec) -> DataFrame:
     A line with too few or too many cells, such as a header that does not fit, is one bad cell without a
     column. Line breaks inside quotes are taken as ends of lines.
     """
-    lines = _lines(spark, path, spec)
-    blocks = _numbered(lines.groupBy("file", "block").agg(F.min("id").alias("first"), F.count("*").alias("n")))
-    wrong = lines.where(F.size("bad") > 0).join(blocks, ["file", "block"])
+    blocks = _numbered(_text(spark, path).groupBy("file", "block").agg(F.min("id").alias("first"), F.count("*").alias("n")))
+    wrong = _lines(spark, path, spec).where(F.size("bad") > 0).join(blocks, ["file", "block"])
     placed = wrong.withColumn("line", F.col("before") + F.col("id") - F.col("first") + 1)
     return placed.select("file", "line", F.inline("bad"))
 

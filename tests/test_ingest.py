@@ -111,6 +111,24 @@ def test_a_good_feed_has_no_bad_cells(spark, tmp_path):
     assert first_bad_cell(spark, source, FACEBOOK) is None and bad_cells(spark, source, FACEBOOK).isEmpty()
 
 
+def test_bad_cells_parse_a_line_once(spark, tmp_path):
+    found = bad_cells(spark, _write(tmp_path, GOOD), FACEBOOK)
+    for read in (found, found.drop("line"), found.select("file").distinct(), found.where("line > 1 AND column = 'date'")):
+        assert read._jdf.queryExecution().optimizedPlan().toString().count("from_csv(") == 1
+
+
+def test_every_bad_cell_of_a_line_is_told(spark, tmp_path):
+    wrong = "soon," + "x" * 51 + ",null,\"\",NULL,12.5, none ,5.555,1e30,,abc,+7,NULL"
+    source = _write(tmp_path, GOOD, HEADER, wrong, "null" + ",NULL" * 12)
+    told = [(r.line, r.column, r.cell, r.problem) for r in bad_cells(spark, source, FACEBOOK).collect()]
+    assert told == [
+        (4, "date", "soon", "not a date"), (4, "campaign_id", "x" * 51, "longer than 50"), (4, "clicks", "none", "not a bigint"),
+        (4, "conversions", "1e30", "not a bigint"), (4, "engagement_rate", "abc", "not a decimal(10,4)"),
+    ]
+    first = first_bad_cell(spark, source, FACEBOOK)
+    assert (first.line, first.column, first.cell, first.problem) == told[0]
+
+
 def test_one_task_reads_each_file_with_line_breaks(spark, tmp_path):
     folder = tmp_path / "in"
     folder.mkdir()
