@@ -43,21 +43,16 @@ def _place(f: Field) -> Column:
 
 
 def _text(spark: SparkSession, path: str) -> DataFrame:
-    """(value, file, block, id): each line; ids rise along a block and do not depend on the columns that are read."""
+    """(value, file, block): each line."""
     return spark.read.text(path).select(
-        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("id"),
-    )
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")
+    )
 
 
 def _lines(spark: SparkSession, path: str, spec: SourceSpec) -> DataFrame:
-    """(file, block, id, bad): each line with its bad cells, NULL if it has none."""
+    """(file, block, id, bad): each line with its bad cells, NULL if it has none; ids rise along a block."""
     layout = ", ".join(f"{c} string" for c in spec.columns)
     cells = F.from_csv("value", f"{layout}, _whole_line string", {**CSV, "columnNameOfCorruptRecord": "_whole_line"})
-    # Beside a number of its own in one struct, since nothing that numbers rows is computed twice: a filter on
-    # cells would otherwise be moved below the parsing, and parse each line again for every use of a cell.
-    parsed = _text(spark, path).withColumn("row", F.struct(F.monotonically_increasing_id().alias("nr"), cells.alias("cells")))
-    parsed = parsed.select("value", "file", "block", "id", "row.cells")
     misshapen = F.struct(F.lit("").alias("column"), F.col("value").alias("cell"), F.lit(f"not {len(spec.columns)} cells").alias("problem"))
     # the array, which Spark does not compile, is made only for lines that have a wrong cell
     bad = F.when(F.col("cells._whole_line").isNotNull(), F.array(misshapen)).when(
@@ -67,7 +62,12 @@ def _lines(spark: SparkSession, path: str, spec: SourceSpec) -> DataFrame:
     for c in spec.columns:
         header &= F.trim(F.col(f"cells.{c}")).eqNullSafe(F.lit(c))
     # blank lines are no rows
-    return parsed.select("file", "block", "id", F.when((F.trim("value") != "") & ~header, bad).alias("bad"))
+    bad = F.when((F.trim("value") != "") & ~header, bad)
+    # In one struct with the id, since a number of rows is never computed twice: a filter on the bad cells would
+    # otherwise be moved below the parsing, and parse each line again for every use of a cell.
+    line = F.struct(F.monotonically_increasing_id().alias("id"), bad.alias("bad")).alias("line")
+    parsed = _text(spark, path).withColumn("cells", cells)
+    return parsed.select("file", "block", line).select("file", "block", "line.id", "line.bad")
 
 
 def _numbered(blocks: DataFrame) -> DataFrame:
@@ -82,7 +82,9 @@ def bad_cells(spark: SparkSession, path: str, spec: SourceSpec) -> DataFrame:
     A line with too few or too many cells, such as a header that does not fit, is one bad cell without a
     column. Line breaks inside quotes are taken as ends of lines.
     """
-    blocks = _numbered(_text(spark, path).groupBy("file", "block").agg(F.min("id").alias("first"), F.count("*").alias("n")))
+    # ids of the same lines: they do not depend on the columns that are read
+    ids = _text(spark, path).withColumn("id", F.monotonically_increasing_id())
+    blocks = _numbered(ids.groupBy("file", "block").agg(F.min("id").alias("first"), F.count("*").alias("n")))
     wrong = _lines(spark, path, spec).where(F.size("bad") > 0).join(blocks, ["file", "block"])
     placed = wrong.withColumn("line", F.col("before") + F.col("id") - F.col("first") + 1)
     return placed.select("file", "line", F.inline("bad"))
